@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import canonical, mojibake
+from pairmill.plans.runtime import table
+
+from . import canonical, mojibake, pairdefects
 from .fields import corpus_fields
 
 
@@ -29,5 +31,13 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_restored(spark, sf_dir).select("pair_id", "field")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_canonical, p5_found, p5_restored)}
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defective answers in the pair corpus (sample 0 of a pair) and in the samples of evaluation runs, with their first defect."""
+    pairs = table(spark, sf_dir, "pair_corpus").select(F.lit("pair_corpus").alias("rec_table"), F.col("pair_id").alias("rec_id"), F.lit(0).cast("bigint").alias("sample_no"), F.col("translation.kor_Hang").alias("prompt"), F.col("translation.vie_Latn").alias("response"))
+    runs = table(spark, sf_dir, "eval_results").select("run_id", F.posexplode("samples").alias("sample_no", "s")).select(F.lit("eval_results").alias("rec_table"), F.col("run_id").alias("rec_id"), F.col("sample_no").cast("bigint"), F.col("s.source").alias("prompt"), F.col("s.prediction").alias("response"))
+    rows = pairs.unionAll(runs).where(pairdefects.needs_parsing(F.col("prompt"), F.col("response")))
+    return rows.mapInArrow(pairdefects.defect_batches, "rec_table string, rec_id bigint, sample_no bigint, defect string").dropDuplicates(["rec_table", "rec_id", "sample_no"])
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p3_found, p3_canonical, p5_found, p5_restored)}
 ORACLES: dict = {}
