@@ -7,10 +7,28 @@ from pyspark.sql import functions as F
 
 from pairmill.plans.runtime import table
 
-from . import canonical, mojibake, pairdefects
+from . import canonical, langid, mojibake, pairdefects
 from .fields import corpus_fields
 
 
+def _detector(spark: SparkSession, sf_dir: str) -> langid.Detector:
+    return langid.Detector(langid.train(langid.training_rows(table(spark, sf_dir, "documents"))))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of pairs not wholly in their language, and documents mixed or labelled wrongly or not at all: a row per language."""
+    pairs = corpus_fields(spark, sf_dir).select(F.lit("pair_corpus").alias("rec_table"), F.col("pair_id").alias("rec_id"), "field", F.when(F.col("field") == "kor_Hang", "ko").otherwise("vi").alias("expected"), "text")
+    docs = table(spark, sf_dir, "documents").where("text is not null").select(F.lit("documents").alias("rec_table"), F.col("doc_id").alias("rec_id"), F.lit("text").alias("field"), langid.label_language(F.col("lang")).alias("expected"), "text")
+    rows = pairs.unionAll(docs).mapInArrow(langid.found_batches(_detector(spark, sf_dir)), "rec_table string, rec_id bigint, field string, lang string")
+    return rows.dropDuplicates(["rec_table", "rec_id", "field", "lang"])
+
+
+def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every segment of every document with its language and confidence."""
+    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
+    return docs.mapInArrow(langid.segment_batches(_detector(spark, sf_dir)), "doc_id bigint, seg_no bigint, start bigint, bytes bigint, lang string, confidence double")
+
+
 def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields with stand-in characters, with their usual form; one row per field, pairs delivered again count once."""
     rows = corpus_fields(spark, sf_dir).where(F.col("text").rlike(canonical.TRIGGER))
@@ -39,5 +57,5 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.mapInArrow(pairdefects.defect_batches, "rec_table string, rec_id bigint, sample_no bigint, defect string").dropDuplicates(["rec_table", "rec_id", "sample_no"])
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p3_found, p3_canonical, p5_found, p5_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p4_found, p3_found, p3_canonical, p5_found, p5_restored)}
 ORACLES: dict = {}
