@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,11 +36,16 @@ def latest_pairs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "pair_corpus").select("pair_id", "translation", *columns).dropDuplicates(["pair_id"])
 
 
-def spread(df: DataFrame, width: int | None = None) -> DataFrame:
-    """Round-robin before a costly Python stage, when a small input arrives in fewer splits than there are cores."""
-    want = width or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
-def lit_array(values: list) -> F.Column:
-    return F.array(*[F.lit(v) for v in values])
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import the package where they don't find it by themselves: by PYTHONPATH or their folder."""
+    package = Path(__file__).resolve().parents[1]
+    root = str(package.parent)
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == root:
+        return
+    if any(Path(f).name == "pairmill.zip" for f in spark.sparkContext.listFiles):
+        return
+    to = Path(tempfile.mkdtemp(prefix="pairmill-")) / "pairmill.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(to))
