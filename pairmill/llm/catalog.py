@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairmill.plans.runtime import table
 
-from . import canonical, langid, mojibake, pairdefects
+from . import canonical, crosssplit, formatdup, langid, leak, mojibake, pairdefects
 from .fields import corpus_fields
 
 
@@ -29,6 +29,16 @@ def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.mapInArrow(langid.segment_batches(_detector(spark, sf_dir)), "doc_id bigint, seg_no bigint, start bigint, bytes bigint, lang string, confidence double")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that hold the same pair as an earlier line, with the first line of their group."""
+    return formatdup.copies(formatdup.hashed_lines(table(spark, sf_dir, "raw_lines")))
+
+
+def p2_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record per pair, with its number of copies."""
+    return formatdup.records(formatdup.hashed_lines(table(spark, sf_dir, "raw_lines")))
+
+
 def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields with stand-in characters, with their usual form; one row per field, pairs delivered again count once."""
     rows = corpus_fields(spark, sf_dir).where(F.col("text").rlike(canonical.TRIGGER))
@@ -57,5 +67,29 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.mapInArrow(pairdefects.defect_batches, "rec_table string, rec_id bigint, sample_no bigint, defect string").dropDuplicates(["rec_table", "rec_id", "sample_no"])
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p4_found, p3_found, p3_canonical, p5_found, p5_restored)}
+def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosssplit.overlaps(table(spark, sf_dir, "nllb_train"), {name: table(spark, sf_dir, f"nllb_{name}") for name in ("dev", "test")})
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of an evaluation row and a training row that hold the same or nearly the same text."""
+    return _overlaps(spark, sf_dir).select("split", "eval_id", "train_id")
+
+
+def p6_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps per split and sources."""
+    return crosssplit.counts(_overlaps(spark, sf_dir))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the test passages they repeat."""
+    return p7_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the test passages they repeat, with the share of the passage's words."""
+    return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_passages"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_records, p4_found, p6_found, p6_counts, p7_found, p7_leaks, p3_found, p3_canonical, p5_found, p5_restored)}
 ORACLES: dict = {}
