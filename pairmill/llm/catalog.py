@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairmill.plans.runtime import table
 
-from . import canonical, crosssplit, formatdup, langid, leak, mojibake, pairdefects
+from . import canonical, crosssplit, formatdup, langid, leak, mojibake, pairdefects, repetition
 from .fields import corpus_fields
 
 
@@ -91,5 +91,20 @@ def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_passages"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_records, p4_found, p6_found, p6_counts, p7_found, p7_leaks, p3_found, p3_canonical, p5_found, p5_restored)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which at least 40 % of the words lie in repeated runs."""
+    return repetition.repetition(table(spark, sf_dir, "documents")).where(F.col("below_band") & (F.col("repeated_share") >= repetition.REPEATED)).select("doc_id").distinct()
+
+
+def p9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own perplexity of every document and, below its language's band, its share of repeated words."""
+    return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
+def p9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the corpus model, with its language's band."""
+    return repetition.corpus_perplexity(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_records, p4_found, p6_found, p6_counts, p7_found, p7_leaks, p9_found, p9_repetition, p9_perplexity, p3_found, p3_canonical, p5_found, p5_restored)}
 ORACLES: dict = {}

@@ -20,8 +20,9 @@ from .streams import ngrams, words
 K1, B = 1.2, 0.75
 #: Words of a stretch and between the begins of two; passages of a block; passages of one index.
 STRETCH, STEP, BLOCK, SLICE = 128, 64, 16, 20000
-#: Share of a passage's own score that a stretch must reach to be verified, share of its words that must be repeated.
-RETRIEVE, REPEATED = 0.15, 0.5
+#: Share of a passage's own score that a stretch must reach to be verified; share of its words that must be repeated, and
+#: what must be left of that share when words changed in between are taken off.
+RETRIEVE, REPEATED, NET = 0.15, 0.5, 0.36
 
 
 class PassageIndex:
@@ -115,11 +116,11 @@ class PassageIndex:
         return [(t, i, max(0, min(nos) * STEP - STEP), max(nos) * STEP + STRETCH + STEP) for (t, i), nos in out.items()]
 
 
-def repeated(passage: np.ndarray, stretch: np.ndarray) -> float:
-    """Share of a passage's words that the best local alignment repeats in order: a word repeated counts 1, a word
-    changed, dropped or added between two of them costs 1."""
+def repeated(passage: np.ndarray, stretch: np.ndarray) -> tuple[float, float]:
+    """Shares of a passage's words that the best local alignment repeats in order, and that are left when each word
+    changed, dropped or added between two of them is taken off."""
     if not len(passage):
-        return 0.0
+        return 0.0, 0.0
     places = defaultdict(list)
     for i, w in enumerate(passage.tolist()):
         places[w].append(i)
@@ -141,7 +142,7 @@ def repeated(passage: np.ndarray, stretch: np.ndarray) -> float:
             new.append((j, i, score + 1, n + 1))
             best = max(best, (score + 1, n + 1))
         chains += new
-    return best[1] / len(passage)
+    return best[1] / len(passage), best[0] / len(passage)
 
 
 def found_batches(index: PassageIndex):
@@ -157,7 +158,8 @@ def found_batches(index: PassageIndex):
                 grams, at = ngrams(h, starts, 2)
                 for t, i, first, last in index.retrieve(grams, at, starts):
                     own = h[starts[t] : starts[t + 1]][first:last]
-                    if (share := repeated(index.words[i], own)) >= REPEATED:
+                    share, net = repeated(index.words[i], own)
+                    if share >= REPEATED and net >= NET:
                         docs.append(ids[lo + t])
                         items.append(int(index.ids[i]))
                         shares.append(round(share, 4))
