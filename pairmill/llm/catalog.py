@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairmill.plans.runtime import table
 
-from . import canonical, crosssplit, formatdup, langid, leak, mojibake, pairdefects, repetition
+from . import canonical, crosssplit, formatdup, langid, leak, mixture, mojibake, pairdefects, repetition
 from .fields import corpus_fields
 
 
@@ -91,6 +91,21 @@ def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_passages"))
 
 
+def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, sf_dir, "mix_targets")
+    return mixture.mixture(mixture.counted(table(spark, sf_dir, "documents"), targets), targets)
+
+
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture of all sources, in order."""
+    return _mixture(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return _mixture(spark, sf_dir)[1]
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of which at least 40 % of the words lie in repeated runs."""
     return repetition.repetition(table(spark, sf_dir, "documents")).where(F.col("below_band") & (F.col("repeated_share") >= repetition.REPEATED)).select("doc_id").distinct()
@@ -106,5 +121,5 @@ def p9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.corpus_perplexity(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_records, p4_found, p6_found, p6_counts, p7_found, p7_leaks, p9_found, p9_repetition, p9_perplexity, p3_found, p3_canonical, p5_found, p5_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_records, p4_found, p6_found, p6_counts, p7_found, p7_leaks, p8_mixture, p8_shares, p9_found, p9_repetition, p9_perplexity, p3_found, p3_canonical, p5_found, p5_restored)}
 ORACLES: dict = {}
