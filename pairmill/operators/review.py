@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 from pyspark.sql.window import Window
 
 from pairmill.functions import text as T
@@ -14,7 +15,7 @@ from pairmill.functions import text as T
 BANDS = ("perfect", "close", "different_style", "wrong")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(reference: pd.Series, prediction: pd.Series) -> pd.Series:
     """difflib ratio of the two texts in lower case without blanks at the ends; the order of the two matters. Null texts count as empty."""
     return pd.Series([difflib.SequenceMatcher(None, (r or "").lower().strip(), (p or "").lower().strip()).ratio() for r, p in zip(reference, prediction, strict=True)], dtype="float64")

@@ -36,8 +36,6 @@ def _distinct(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     return _pairs(spark, sf, *more).dropDuplicates(["pair_id"])
 
 
-S, G = F.col("src"), F.col("tgt")
-
 # ---- SQL of the same expressions
 WS = T.WS
 PAIRS = "(SELECT pair_id, translation.kor_Hang AS src, translation.vie_Latn AS tgt FROM pair_corpus)"
@@ -107,49 +105,49 @@ Q_VERDICT = f"(SELECT pair_id, {Q_REASON} AS reason FROM {PAIRS})"
 
 @query(f"SELECT pair_id, md5({q_norm('src')}) AS src_md5, md5({q_norm('tgt')}) AS tgt_md5 FROM {PAIRS}")
 def norm_text_md5(spark, sf):
-    return _pairs(spark, sf).select("pair_id", F.md5(T.normalized(S)).alias("src_md5"), F.md5(T.normalized(G)).alias("tgt_md5"))
+    return _pairs(spark, sf).select("pair_id", F.md5(T.normalized(F.col("src"))).alias("src_md5"), F.md5(T.normalized(F.col("tgt"))).alias("tgt_md5"))
 
 
 @query(f"SELECT pair_id, len({q_words('src')})::BIGINT AS src_words, len({q_words('tgt')})::BIGINT AS tgt_words FROM {PAIRS}")
 def word_count(spark, sf):
-    return _pairs(spark, sf).select("pair_id", T.word_count(S).alias("src_words"), T.word_count(G).alias("tgt_words"))
+    return _pairs(spark, sf).select("pair_id", T.word_count(F.col("src")).alias("src_words"), T.word_count(F.col("tgt")).alias("tgt_words"))
 
 
 @query(f"SELECT pair_id, length(src)::BIGINT AS src_chars, length(tgt)::BIGINT AS tgt_chars FROM {PAIRS}")
 def char_length(spark, sf):
-    return _pairs(spark, sf).select("pair_id", T.char_length(S).alias("src_chars"), T.char_length(G).alias("tgt_chars"))
+    return _pairs(spark, sf).select("pair_id", T.char_length(F.col("src")).alias("src_chars"), T.char_length(F.col("tgt")).alias("tgt_chars"))
 
 
 @query(f"SELECT pair_id, round({q_ratio('src', 'tgt')}, 6) AS ratio, round(coalesce({q_ratio('src', 'tgt')}, 0), 6) AS review_ratio FROM {PAIRS}")
 def length_ratio(spark, sf):
-    ratio = T.length_ratio(S, G)
+    ratio = T.length_ratio(F.col("src"), F.col("tgt"))
     return _pairs(spark, sf).select("pair_id", F.round(ratio, 6).alias("ratio"), F.round(F.coalesce(ratio, F.lit(0.0)), 6).alias("review_ratio"))
 
 
 @query(rf"SELECT pair_id, array_to_string(regexp_extract_all(src, '\p{{Nd}}+'), ' ') AS src_numbers, {q_count('tgt', chr(92) + 'p{Nd}+')}::BIGINT AS tgt_count FROM {PAIRS}")
 def number_extract_count(spark, sf):
-    return _pairs(spark, sf).select("pair_id", F.array_join(T.numbers(S), " ").alias("src_numbers"), F.size(T.numbers(G)).cast("bigint").alias("tgt_count"))
+    return _pairs(spark, sf).select("pair_id", F.array_join(T.numbers(F.col("src")), " ").alias("src_numbers"), F.size(T.numbers(F.col("tgt"))).cast("bigint").alias("tgt_count"))
 
 
 @query(f"SELECT pair_id, round({q_divergence('src', 'tgt')}, 6) AS divergence FROM {PAIRS}")
 def number_divergence(spark, sf):
-    return _pairs(spark, sf).select("pair_id", F.round(T.number_divergence(S, G), 6).alias("divergence"))
+    return _pairs(spark, sf).select("pair_id", F.round(T.number_divergence(F.col("src"), F.col("tgt")), 6).alias("divergence"))
 
 
 @query(f"SELECT pair_id, round({q_density('src')}, 6) AS src_density, round({q_density('tgt')}, 6) AS tgt_density FROM {PAIRS}")
 def punct_density(spark, sf):
-    return _pairs(spark, sf).select("pair_id", F.round(T.punctuation_density(S), 6).alias("src_density"), F.round(T.punctuation_density(G), 6).alias("tgt_density"))
+    return _pairs(spark, sf).select("pair_id", F.round(T.punctuation_density(F.col("src")), 6).alias("src_density"), F.round(T.punctuation_density(F.col("tgt")), 6).alias("tgt_density"))
 
 
 @query(f"SELECT doc_id, {q_boilerplate('text')} AS boilerplate FROM documents UNION ALL SELECT -pair_id, {q_boilerplate('tgt')} FROM {PAIRS}")
 def boilerplate_flag(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", T.boilerplate(F.col("text")).alias("boilerplate"))
-    return docs.unionAll(_pairs(spark, sf).select(-F.col("pair_id"), T.boilerplate(G)))
+    return docs.unionAll(_pairs(spark, sf).select(-F.col("pair_id"), T.boilerplate(F.col("tgt"))))
 
 
 @query(f"SELECT pair_id, {q_useless('src')} AS src_useless, {q_useless('tgt')} AS tgt_useless FROM {PAIRS}")
 def useless_phrase_flag(spark, sf):
-    return _pairs(spark, sf).select("pair_id", T.useless(S).alias("src_useless"), T.useless(G).alias("tgt_useless"))
+    return _pairs(spark, sf).select("pair_id", T.useless(F.col("src")).alias("src_useless"), T.useless(F.col("tgt")).alias("tgt_useless"))
 
 
 @query("SELECT lang, CASE lang WHEN 'kor_Hang' THEN 'ko' WHEN 'vie_Latn' THEN 'vi' ELSE lang END AS code, count(*) AS n FROM documents GROUP BY lang")
@@ -164,17 +162,17 @@ def threshold_label(spark, sf):
 
 @query(f"SELECT pair_id, regexp_matches(src, '[ᄁ-ᇾ]') AS src_mixed, regexp_matches(tgt, '[ᄁ-ᇾ]') AS tgt_mixed FROM {PAIRS}")
 def mixed_language_flag(spark, sf):
-    return _pairs(spark, sf).select("pair_id", T.mixed_language(S).alias("src_mixed"), T.mixed_language(G).alias("tgt_mixed"))
+    return _pairs(spark, sf).select("pair_id", T.mixed_language(F.col("src")).alias("src_mixed"), T.mixed_language(F.col("tgt")).alias("tgt_mixed"))
 
 
 @query(f"SELECT pair_id, ({' + '.join(f'contains(lower(tgt), {m!r})::INT' for m in T.LITERAL_MARKERS)})::BIGINT AS score FROM {PAIRS}")
 def literal_marker_score(spark, sf):
-    return _pairs(spark, sf).select("pair_id", T.literal_score(G).alias("score"))
+    return _pairs(spark, sf).select("pair_id", T.literal_score(F.col("tgt")).alias("score"))
 
 
 @query(f"SELECT pair_id, round({q_prob('src', 'ko')}, 6) AS p_ko, round({q_prob('tgt', 'vi')}, 6) AS p_vi FROM {PAIRS}")
 def langid_filter(spark, sf):
-    return _pairs(spark, sf).select("pair_id", F.round(T.language_probability(S, "ko"), 6).alias("p_ko"), F.round(T.language_probability(G, "vi"), 6).alias("p_vi"))
+    return _pairs(spark, sf).select("pair_id", F.round(T.language_probability(F.col("src"), "ko"), 6).alias("p_ko"), F.round(T.language_probability(F.col("tgt"), "vi"), 6).alias("p_vi"))
 
 
 @query("SELECT run_id, 'inference_' || list_extract(string_split(rtrim(model, '/'), '/'), -1) || '.json' AS file FROM eval_results")
@@ -229,7 +227,7 @@ def exact_dedup_keep_first(spark, sf):
 @query()
 def lsh_greedy_dedup(spark, sf):
     """Which sources stay when near duplicates go, the first kept."""
-    return dedup.near_duplicates(_distinct(spark, sf).select("pair_id", S.alias("text")))
+    return dedup.near_duplicates(_distinct(spark, sf).select("pair_id", F.col("src").alias("text")))
 
 
 @query(
@@ -370,7 +368,10 @@ def baseline_table(spark, sf):
     return _rounded(compare.against_baseline(table(spark, sf, "eval_results"), F.col("model") == "base-600m"))
 
 
-_THRESHOLD = F.try_divide(F.try_to_number(F.regexp_extract("test_file", r"semantic_(\d+)", 1), F.lit("999")).cast("double"), F.lit(100.0))
+def _threshold():
+    return F.try_divide(F.try_to_number(F.regexp_extract("test_file", r"semantic_(\d+)", 1), F.lit("999")).cast("double"), F.lit(100.0))
+
+
 Q_SWEEP = r"""(SELECT threshold, run_id, metrics.bleu.score AS bleu, metrics.chrf AS chrf, metrics.ter AS ter, metrics.comet AS comet, test_size FROM
     (SELECT *, try_cast(regexp_extract(test_file, 'semantic_(\d+)', 1) AS DOUBLE) / 100.0 AS threshold FROM eval_results) WHERE threshold IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY threshold ORDER BY run_id DESC) = 1)"""
@@ -378,7 +379,7 @@ Q_SWEEP = r"""(SELECT threshold, run_id, metrics.bleu.score AS bleu, metrics.chr
 
 @query(f"SELECT * FROM {Q_SWEEP}")
 def sweep_table(spark, sf):
-    return compare.sweep_table(table(spark, sf, "eval_results"), _THRESHOLD)
+    return compare.sweep_table(table(spark, sf, "eval_results"), _threshold())
 
 
 @query(f"SELECT arg_max(threshold, bleu) AS best_threshold, max(bleu) AS best_bleu FROM {Q_SWEEP}")
