@@ -113,21 +113,46 @@ def edits(hyp: list[str], ref: list[str]) -> int:
     return row[-1]
 
 
+def _wrong(hyp: list[str], ref: list[str]) -> tuple[list[bool], list[bool]]:
+    """Which words of either list the cheapest edits touch."""
+    table = [list(range(len(ref) + 1))]
+    for i, x in enumerate(hyp, 1):
+        last, new = table[-1], [i]
+        for j, y in enumerate(ref, 1):
+            new.append(min(last[j] + 1, new[j - 1] + 1, last[j - 1] + (x != y)))
+        table.append(new)
+    in_hyp, in_ref = [True] * len(hyp), [True] * len(ref)
+    i, j = len(hyp), len(ref)
+    while i and j:
+        if hyp[i - 1] == ref[j - 1] and table[i][j] == table[i - 1][j - 1]:
+            i, j = i - 1, j - 1
+            in_hyp[i] = in_ref[j] = False
+        elif table[i][j] == table[i - 1][j - 1] + 1:
+            i, j = i - 1, j - 1
+        elif table[i][j] == table[i - 1][j] + 1:
+            i -= 1
+        else:
+            j -= 1
+    return in_hyp, in_ref
+
+
 def edits_with_shifts(hyp: list[str], ref: list[str], longest: int = 10, farthest: int = 50) -> int:
     """Edits, block shifts at one edit each: as long as moving a run of words that ref has elsewhere saves more edits than
-    it costs, the best such move is made."""
+    it costs, the best such move is made. Only runs that hold an error move, to places where ref has one."""
     shifts, now = 0, edits(hyp, ref)
-    while now > 0:
-        best, best_hyp = now, None
+    while now > 1 and set(hyp) & set(ref):
+        best, best_hyp = now - 1, None  # a shift costs an edit, so it must save two
+        bad_hyp, bad_ref = _wrong(hyp, ref)
         spots: dict[tuple, list[int]] = {}
         for n in range(1, longest + 1):
             for j in range(len(ref) - n + 1):
-                spots.setdefault(tuple(ref[j : j + n]), []).append(j)
+                if any(bad_ref[j : j + n]):
+                    spots.setdefault(tuple(ref[j : j + n]), []).append(j)
         for i in range(len(hyp)):
             for n in range(1, min(longest, len(hyp) - i) + 1):
                 run = tuple(hyp[i : i + n])
-                if run not in spots:
-                    break
+                if run not in spots or not any(bad_hyp[i : i + n]):
+                    continue
                 rest = hyp[:i] + hyp[i + n :]
                 for j in spots[run]:
                     if j == i or abs(j - i) > farthest:
@@ -137,7 +162,7 @@ def edits_with_shifts(hyp: list[str], ref: list[str], longest: int = 10, farthes
                     cost = edits(moved, ref)
                     if cost < best:
                         best, best_hyp = cost, moved
-        if best_hyp is None or best + 1 > now:
+        if best_hyp is None:
             break
         hyp, now, shifts = best_hyp, best, shifts + 1
     return shifts + now

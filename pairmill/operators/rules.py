@@ -28,7 +28,7 @@ class FilterConfig:
     use_near_dedup: bool = True
 
 
-def failures(src: Column, tgt: Column, c: FilterConfig, src_prob: Column | None = None, tgt_prob: Column | None = None) -> dict[str, Column]:
+def failures(src: Column, tgt: Column, c: FilterConfig, src_prob: Column | None = None, tgt_prob: Column | None = None, ratio: Column | None = None) -> dict[str, Column]:
     """Condition of each rule's failure, in the order they are tried, cheap ones first. A null text counts as empty; text
     without letters passes the language rules, as nothing can be told about it."""
     s, t = F.coalesce(src, F.lit("")), F.coalesce(tgt, F.lit(""))
@@ -39,8 +39,8 @@ def failures(src: Column, tgt: Column, c: FilterConfig, src_prob: Column | None
     if c.use_langid:
         out[f"wrong_lang_{c.src_lang}"] = F.coalesce((src_prob if src_prob is not None else T.language_probability(s, c.src_lang)) < c.langid_threshold, F.lit(False))
         out[f"wrong_lang_{c.tgt_lang}"] = F.coalesce((tgt_prob if tgt_prob is not None else T.language_probability(t, c.tgt_lang)) < c.langid_threshold, F.lit(False))
-    ratio = T.length_ratio(s, t)
-    out["length_ratio"] = ratio.isNull() | (ratio == 0) | ~ratio.between(c.length_ratio_min, c.length_ratio_max)
+    ratio = T.length_ratio(s, t) if ratio is None else ratio
+    out["length_ratio"] = ~F.coalesce((ratio > 0) & ratio.between(c.length_ratio_min, c.length_ratio_max), F.lit(False))
     out["number_inconsistent"] = T.number_divergence(s, t) > c.max_number_diff
     out["punct_density"] = F.coalesce(F.greatest(T.punctuation_density(s), T.punctuation_density(t)) >= c.max_punctuation, F.lit(True))
     return out
@@ -49,9 +49,11 @@ def failures(src: Column, tgt: Column, c: FilterConfig, src_prob: Column | None
 def verdict(pairs: DataFrame, src: str = "src", tgt: str = "tgt", config: FilterConfig = FilterConfig(), src_prob: Column | None = None, tgt_prob: Column | None = None) -> DataFrame:
     """Adds `reason` by the row-wise rules; near duplicates are a second stage (see `dedup.near_duplicates`)."""
     reason = F.lit("passed")
-    for name, failed in reversed(failures(F.col(src), F.col(tgt), config, src_prob, tgt_prob).items()):
+    for name, failed in reversed(failures(F.col(src), F.col(tgt), config, src_prob, tgt_prob, F.col("_ratio")).items()):
         reason = F.when(failed, name).otherwise(reason)
-    return pairs.withColumn("reason", reason)
+    # the ratio is needed several times; a column of its own is computed once
+    counted = pairs.withColumn("_ratio", T.length_ratio(F.coalesce(src, F.lit("")), F.coalesce(tgt, F.lit(""))))
+    return counted.withColumn("reason", reason).drop("_ratio")
 
 
 def flags(pairs: DataFrame, src: str = "src", tgt: str = "tgt", config: FilterConfig = FilterConfig()) -> DataFrame:
