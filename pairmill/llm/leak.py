@@ -37,6 +37,7 @@ class PassageIndex:
         for w in self.words:
             g, _ = ngrams(w, np.array([0, len(w)]), 2)
             grams.append(g)
+        self.grams = grams
         size = np.array([len(g) for g in grams], float)
         self.vocabulary = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
         term, item, tf = [], [], []
@@ -158,6 +159,10 @@ def found_batches(index: PassageIndex):
                 grams, at = ngrams(h, starts, 2)
                 for t, i, first, last in index.retrieve(grams, at, starts):
                     own = h[starts[t] : starts[t + 1]][first:last]
+                    # n words repeated with c changed in between lie in c + 1 runs at most, so n - c - 1 pairs of words are whole
+                    lo_, hi_ = np.searchsorted(at, (starts[t] + first, starts[t] + last))
+                    if np.isin(index.grams[i], grams[lo_:hi_]).sum() < NET * len(index.words[i]) - 1:
+                        continue
                     share, net = repeated(index.words[i], own)
                     if share >= REPEATED and net >= NET:
                         docs.append(ids[lo + t])
