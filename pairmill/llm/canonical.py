@@ -126,7 +126,7 @@ def canonical(text: str) -> str:
             j += 1
             if None in node:
                 target, end = node[None], j
-        if c in JOINERS and _in_emoji(text, i):
+        if (c in JOINERS and _in_emoji(text, i)) or (m.end() > i + 1 and text[i + 1] in JOINERS and _in_emoji(text, i + 1)):
             continue
         if c in LOOKALIKES and end == i + 1 and c not in _ETH:
             if spans is None:

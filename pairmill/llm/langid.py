@@ -26,12 +26,14 @@ SPELLINGS = {
 
 #: Bounds of the training sample: documents a label, characters of each, windows in all.
 DOCS_PER_LABEL, CHARS_PER_DOC, MAX_WINDOWS = 200, 3000, 14000
+#: Rows that training goes through at least, each row of the sample counted once an epoch.
+LEAST_ROWS = 84_000
 #: Least letters of a segment that counts: Latin, Cyrillic; Hangul, Han and kana. Least words of a Latin segment.
 LEAST_LATIN, LEAST_BLOCK, LEAST_WORDS = 14, 6, 4
 #: Most bytes of a segment.
 LONGEST = 30000
 #: Least probability of a segment's language.
-SURE = 0.8
+SURE = 0.55
 
 
 def label_language(label: Column) -> Column:
@@ -67,12 +69,16 @@ _CLOSE[[ord(c) for c in "\"')]"]] = True
 
 
 def _kinds(b: np.ndarray) -> np.ndarray:
-    """Bytes with the first byte of a Hangul letter, which Vietnamese letters share, told apart by the byte after it."""
+    """Bytes with first bytes told apart by the byte after them: those of Hangul letters from the Vietnamese letters that
+    share them, those of ideographic punctuation from kana."""
     jamo = np.flatnonzero(b[:-1] == 0xE1)
     jamo = jamo[b[jamo + 1] < 0x88]
-    if len(jamo):
+    sign = np.flatnonzero(b[:-1] == 0xE3)
+    sign = sign[b[sign + 1] == 0x80]
+    if len(jamo) or len(sign):
         b = b.copy()
         b[jamo] = 0xEA
+        b[sign] = 32
     return b
 
 
@@ -170,7 +176,7 @@ class Detector:
             ok[:, 7] = ~is_roman & ~ok[:, 0] & ~east
             score[~ok] -= 60
             vn = viet[at]
-            score[:, 1] += np.where(is_roman & (vn >= 2) & (vn * 12 >= r), 12, 0)
+            score[:, 1] += np.where(is_roman & (vn >= 2) & (vn * 20 >= r), 12, 0)
             score -= score.max(1, keepdims=True)
             prob = np.exp(score)
             prob /= prob.sum(1, keepdims=True)
@@ -218,8 +224,8 @@ def train(labelled: list[tuple[str, str]], epochs: int = 6) -> Compiled:
         variants = [text]
         if lang == "vi":
             variants = [text, _strip(text), unicodedata.normalize("NFD", text)] if r.random() < 0.5 else [text, _strip(text)]
-        if r.random() < 0.1:
-            variants.append(variants[-1].upper())
+        if r.random() < 0.3:
+            variants.append(variants[r.integers(len(variants))].upper())
         for t in variants:
             b, offsets = flat(pa.array([t]))
             if not len(b):
@@ -244,7 +250,9 @@ def train(labelled: list[tuple[str, str]], epochs: int = 6) -> Compiled:
         cols = np.minimum(np.arange(LENGTH) + shift[:, None], LENGTH)
         x.append(np.take_along_axis(np.pad(rows, ((0, 0), (0, 1))), cols, 1))
         y.append(np.full(len(rows), k))
-    net = ByteCNN(len(LANGS)).fit(np.concatenate(x), np.concatenate(y), epochs=epochs)
+    rows, labels = np.concatenate(x), np.concatenate(y)
+    # a small sample is gone through more often
+    net = ByteCNN(len(LANGS)).fit(rows, labels, epochs=max(epochs, -(-LEAST_ROWS // len(rows))))
     return Compiled(net)
 
 
