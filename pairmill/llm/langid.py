@@ -30,6 +30,8 @@ DOCS_PER_LABEL, CHARS_PER_DOC, MAX_WINDOWS = 200, 3000, 14000
 LEAST_ROWS = 84_000
 #: Least letters of a segment that counts: Latin, Cyrillic; Hangul, Han and kana. Least words of a Latin segment.
 LEAST_LATIN, LEAST_BLOCK, LEAST_WORDS = 14, 6, 4
+#: Letters up to which a Latin segment without a sentence's end is a heading.
+HEADING = 45
 #: Most bytes of a segment.
 LONGEST = 30000
 #: Least probability of a segment's language.
@@ -116,6 +118,18 @@ def cut(b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at
 
 
+def _ended(b: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether stretches end with a sentence's end, blanks and closing signs aside."""
+    at = ends - 1
+    for _ in range(6):
+        last = b[np.maximum(at, 0)]
+        skip = (last <= 32) | _CLOSE[last]
+        at = np.where(skip & (at > 0), at - 1, at)
+    last = b[np.maximum(at, 0)]
+    quote = (at >= 3) & (b[np.maximum(at - 1, 0)] == 0x80) & ((last == 0x9D) | (last == 0x99))
+    return _TERM[last] | (last == 0xA6) | (quote & _TERM[b[np.maximum(at - 3, 0)]])
+
+
 def windows(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows of LENGTH bytes that cover each stretch, the last one against its end; zeros fill short ones. (rows, owner)"""
     size = ends - starts
@@ -154,7 +168,8 @@ class Detector:
         latin, viet, l1 = c & 0x1FFFFF, (c >> 21) & 0x1FFFFF, c >> 42
         ko, han, kana, cyr = d & 0xFFFF, (d >> 16) & 0xFFFF, (d >> 32) & 0xFFFF, d >> 48
         roman = latin + viet + l1
-        counts = ((roman >= LEAST_LATIN) & (spaces >= LEAST_WORDS - 1)) | (ko >= LEAST_BLOCK) | (han + kana >= LEAST_BLOCK) | (cyr >= LEAST_LATIN)
+        sentence = (roman > HEADING) | _ended(b, ends)
+        counts = ((roman >= LEAST_LATIN) & (spaces >= LEAST_WORDS - 1) & sentence) | (ko >= LEAST_BLOCK) | (han + kana >= LEAST_BLOCK) | (cyr >= LEAST_LATIN)
         lang = np.full(len(starts), -1, np.int8)
         sure = np.zeros(len(starts), np.float32)
         at = np.flatnonzero(counts)
