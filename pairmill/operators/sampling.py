@@ -29,12 +29,13 @@ def first_of_each(rows: DataFrame, group: str, n: int, key: str, seed: int = 42)
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def ranked(rows: DataFrame, key: str, seed: int = 42, buckets: int = 256) -> DataFrame:
+def ranked(rows: DataFrame, key: str, seed: int = 42, digits: int = 4) -> DataFrame:
     """Adds `rank`, 1 to N, by shuffled order of a unique key, without bringing all rows into one task: rows are ranked
-    inside buckets of the digest's first two digits, after the rows of the buckets before."""
-    keyed = rows.withColumn("_order", shuffled(key, seed)).withColumn("_bucket", F.substring("_order", 1, 2))
+    inside buckets of the digest's first digits, after the rows of the buckets before. There are 16 ** digits buckets at
+    most, which bounds what is broadcast."""
+    keyed = rows.withColumn("_order", shuffled(key, seed)).withColumn("_bucket", F.substring("_order", 1, digits))
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # over 256 rows
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # over one row per bucket
     sizes = sizes.select("_bucket", before.alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_order", key))
     return keyed.join(F.broadcast(sizes), "_bucket").withColumn("rank", F.col("_before") + inside).drop("_order", "_bucket", "_before")
