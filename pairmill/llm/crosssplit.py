@@ -21,6 +21,8 @@ from pairmill.plans.runtime import cut
 from .streams import mix, text_hashes, words
 
 BITS, BLOCK_BITS, BLOCKS, WEAK, RADIUS = 256, 20, 12, 5, 68
+#: Parts into which the rows of one text are dealt.
+PARTS = 16
 #: Most of a text's words that may be changed, dropped, added or moved.
 CHANGED = 1 / 6
 HASHED = "split string, pair_no bigint, source string, h1 bigint, h2 bigint, c0 bigint, c1 bigint, c2 bigint, c3 bigint, blocks array<bigint>, text string"
@@ -140,9 +142,13 @@ def overlaps(train: DataFrame, evals: dict[str, DataFrame]) -> DataFrame:
     candidates = near.unionAll(equal).distinct()
     texts = candidates.join(ec.select("eh1", "eh2", "etext"), ["eh1", "eh2"]).join(tc.select("th1", "th2", "ttext"), ["th1", "th2"])
     pairs = texts.select("eh1", "eh2", "th1", "th2", "etext", "ttext").mapInArrow(verify_batches, "eh1 bigint, eh2 bigint, th1 bigint, th2 bigint")
-    em = e.select(F.col("h1").alias("eh1"), F.col("h2").alias("eh2"), "split", F.col("pair_no").alias("eval_id"), F.col("source").alias("eval_source"))
-    tm = t.select(F.col("h1").alias("th1"), F.col("h2").alias("th2"), F.col("pair_no").alias("train_id"), F.col("source").alias("train_source"))
-    return pairs.join(em, ["eh1", "eh2"]).join(tm, ["th1", "th2"]).select("split", "eval_id", "eval_source", "train_id", "train_source").dropDuplicates(["split", "eval_id", "train_id"])
+    # a text may stand in a third of a split's rows: its members are dealt out, and each pair of classes meets every part
+    part = lambda key: F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
+    em = e.select(F.col("h1").alias("eh1"), F.col("h2").alias("eh2"), part("pair_no").alias("ep"), "split", F.col("pair_no").alias("eval_id"), F.col("source").alias("eval_source"))
+    tm = t.select(F.col("h1").alias("th1"), F.col("h2").alias("th2"), part("pair_no").alias("tp"), F.col("pair_no").alias("train_id"), F.col("source").alias("train_source"))
+    both = pairs.withColumn("ep", every).join(em, ["eh1", "eh2", "ep"]).withColumn("tp", every).join(tm, ["th1", "th2", "tp"])
+    return both.select("split", "eval_id", "eval_source", "train_id", "train_source").dropDuplicates(["split", "eval_id", "train_id"])
 
 
 def counts(found: DataFrame) -> DataFrame:
