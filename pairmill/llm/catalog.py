@@ -122,4 +122,25 @@ def p9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_records, p4_found, p6_found, p6_counts, p7_found, p7_leaks, p8_mixture, p8_shares, p9_found, p9_repetition, p9_perplexity, p3_found, p3_canonical, p5_found, p5_restored)}
-ORACLES: dict = {}
+# White space as Python's str.isspace sees it.
+_SPACE = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _folded(path: str) -> str:
+    return f"lower(regexp_replace(json_extract_string(line, '$.translation.{path}'), '[\\p{{P}}{_SPACE}]+', '', 'g'))"
+
+
+_VALID = " AND ".join(["json_valid(line)", *[f"CASE WHEN json_valid(line) THEN json_type(line, '$.translation.{f}') END = 'VARCHAR'" for f in ("kor_Hang", "vie_Latn")]])
+_GROUPS = f"""WITH l AS MATERIALIZED (SELECT line_id, line FROM raw_lines WHERE {_VALID}), f AS (SELECT line_id, {_folded('kor_Hang')} AS k, {_folded('vie_Latn')} AS v FROM l),
+    g AS (SELECT line_id, min(line_id) OVER (PARTITION BY k, v) AS first, count(*) OVER (PARTITION BY k, v) AS copies FROM f WHERE k <> '' AND v <> '')"""
+
+ORACLES: dict[str, str] = {
+    "p2_found": f"{_GROUPS} SELECT first AS first_line_id, line_id FROM g WHERE line_id <> first",
+    "p2_records": f"{_GROUPS} SELECT g.line_id, json_extract_string(line, '$.translation.kor_Hang') AS kor_Hang, json_extract_string(line, '$.translation.vie_Latn') AS vie_Latn, copies FROM g JOIN l USING (line_id) WHERE g.line_id = first",
+    "p9_found": f"""WITH w AS (SELECT doc_id, list_filter(list_transform(string_split_regex(lower(text), '[{_SPACE}]+'), lambda x: regexp_replace(x, '\\p{{P}}+', '', 'g')), lambda x: x <> '') AS w
+        FROM documents WHERE len(regexp_extract_all(text, '[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]')) * 3 < length(text)),
+    g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+    again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, g ORDER BY i) AS k FROM g) WHERE k > 1),
+    covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM again) GROUP BY doc_id)
+    SELECT doc_id FROM covered JOIN w USING (doc_id) WHERE n >= 0.4 * len(w)""",
+}
