@@ -102,8 +102,8 @@ def test_discounts():
     d = repetition.discounts(1000, 100, 40, 20)
     y = 1000 / 1200
     assert abs(d[0] - (1 - 2 * y * 0.1)) < 1e-12 and abs(d[1] - 1.6) < 1e-12 or d[1] <= 1.6
-    upper, lower = repetition.bands(d)
-    assert lower < upper
+    for counts in ((1000, 100, 40, 20), (5, 50, 50, 50), (1, 1, 1, 1), (0, 3, 0, 0), (10**9, 1, 1, 1)):
+        assert repetition.bits_saved(repetition.own_discounts(repetition.discounts(*counts))) > 0
 
 
 def kneser_ney_by_hand(texts):
