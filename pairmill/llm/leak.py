@@ -1,7 +1,7 @@
 """Test passages inside training documents: a BM25 index of the passages, queried with every stretch of every document.
 
-Terms are runs of two words. Weights are divided by what a passage must reach, so that one threshold, 1, holds for
-all. Passages lie in blocks with the greatest weight of each term; a stretch first adds up the terms' bounds, then the
+Terms are runs of two words. Weights are divided by what a stretch that repeats enough of the passage has at least, so
+that one threshold, 1, holds for all and no case stays below it. Passages lie in blocks with the greatest weight of each term; a stretch first adds up the terms' bounds, then the
 bounds of each block, and only blocks that can reach the threshold are scored passage by passage. What is retrieved is
 verified by local alignment of the words.
 """
@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from .streams import ngrams, words
 
 K1, B = 1.2, 0.75
-#: Words of a stretch and between the begins of two; passages of a block; passages of one index.
-STRETCH, STEP, BLOCK, SLICE = 128, 64, 16, 20000
-#: Share of a passage's own score that a stretch must reach to be verified; share of its words that must be repeated, and
-#: what must be left of that share when words changed in between are taken off.
-RETRIEVE, REPEATED, NET = 0.15, 0.5, 0.36
+#: Passages of a block; passages of one index.
+BLOCK, SLICE = 16, 20000
+#: Share of a passage's words that must be repeated, and what must be left of it when words changed in between are taken off.
+REPEATED, NET = 0.5, 0.36
+#: Least words between the begins of two stretches; a stretch has twice as many. An index takes more if its passages are
+#: long: n words repeated with c changed have n - c >= NET of the passage, so they lie within 2 - NET times its length.
+STEP = 64
 
 
 class PassageIndex:
@@ -51,8 +53,15 @@ class PassageIndex:
         idf = np.log1p((len(grams) - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * size / max(size.mean(), 1)) if len(size) else size
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[item]) if len(term) else np.zeros(0)
-        own = np.bincount(item, weight, len(grams)) if len(term) else np.zeros(len(grams))
-        weight = weight / (np.maximum(own, 1e-9)[item] * RETRIEVE) if len(term) else weight
+        self.step = max(STEP, int(np.ceil((2 - NET) * max(map(len, self.words), default=0))))
+        # n words repeated with c changed in between lie in c + 1 runs at most, so n - c - 1 pairs of words are whole;
+        # the lightest so many of a passage's pairs, each counted once, are what a case scores at least
+        need = np.array([max(1, int(np.floor(NET * len(w) - 1)) - (len(g) - len(np.unique(g)))) for w, g in zip(self.words, grams, strict=True)], np.int64)
+        at = np.lexsort((weight, item))
+        first = np.searchsorted(item[at], np.arange(len(grams) + 1))
+        total = np.r_[0.0, np.cumsum(weight[at])]
+        least = total[np.minimum(first[:-1] + need, first[1:])] - total[first[:-1]]
+        weight = weight / (least[item] * (1 - 1e-6)) if len(term) else weight
         # postings by term and block of passages, and the greatest weight of each
         at = np.lexsort((item, item // BLOCK, term))
         self.term, self.item, self.weight = term[at], item[at], weight[at].astype(np.float32)
@@ -80,7 +89,7 @@ class PassageIndex:
         text = np.searchsorted(starts, pos, side="right") - 1
         # the stretches that hold each place: two, but for the first
         local = pos - starts[text]
-        last = local // STEP
+        last = local // self.step
         s_text, s_no, s_term = np.r_[text, text[last > 0]], np.r_[last, last[last > 0] - 1], np.r_[term, term[last > 0]]
         stretch = s_text * (1 << 32) + s_no
         order = np.lexsort((s_term, stretch))
@@ -114,7 +123,7 @@ class PassageIndex:
         out: dict[tuple[int, int], list[int]] = {}
         for t, no, i in zip((s >> 32).tolist(), (s & 0xFFFFFFFF).tolist(), (hit % len(self.ids)).tolist(), strict=True):
             out.setdefault((t, i), []).append(no)
-        return [(t, i, max(0, min(nos) * STEP - STEP), max(nos) * STEP + STRETCH + STEP) for (t, i), nos in out.items()]
+        return [(t, i, max(0, (min(nos) - 1) * self.step), (max(nos) + 3) * self.step) for (t, i), nos in out.items()]
 
 
 def repeated(passage: np.ndarray, stretch: np.ndarray) -> tuple[float, float]:
@@ -159,7 +168,6 @@ def found_batches(index: PassageIndex):
                 grams, at = ngrams(h, starts, 2)
                 for t, i, first, last in index.retrieve(grams, at, starts):
                     own = h[starts[t] : starts[t + 1]][first:last]
-                    # n words repeated with c changed in between lie in c + 1 runs at most, so n - c - 1 pairs of words are whole
                     lo_, hi_ = np.searchsorted(at, (starts[t] + first, starts[t] + last))
                     if np.isin(index.grams[i], grams[lo_:hi_]).sum() < NET * len(index.words[i]) - 1:
                         continue
