@@ -39,7 +39,7 @@ CHAINS = {
 STATES = ["clean", *CHAINS]
 WIDE = ("cp949", "gbk", "cp932")
 PIECE = 1024
-SWITCH_IN, SWITCH_OUT = np.log(1e-5), np.log(0.01)
+SWITCH_IN, SWITCH_OUT = np.log(1e-3), np.log(0.05)
 
 #: Characters no garbled span can do without another kind: a text of these alone, with no suspect pair, stays clean.
 VIETNAMESE = "".join(sorted({unicodedata.normalize("NFC", v + m + t) for v in "aeiouyAEIOUY" for m in ("", "̂", "̆", "̛") for t in ("", "̀", "́", "̃", "̉", "̣") if len(unicodedata.normalize("NFC", v + m + t)) == 1} | set("đĐ") - {" "}))
@@ -411,9 +411,40 @@ def repair(text: str, states: np.ndarray) -> tuple[str | None, list[str]]:
     return ("".join([*out, text[done:]]) if whole else None), found
 
 
+def _confirmed(text: str, states: np.ndarray) -> bool:
+    """Some labelled span decodes to other text, has lost characters, or question marks inside words."""
+    for m in re.finditer("[^ \n]+(?: +[^ \n]+)*", text):
+        for k in dict.fromkeys(states[m.start() : m.end()].tolist()):
+            if not k:
+                continue
+            if STATES[k] == "lost_replacement":
+                if "�" in m.group():
+                    return True
+            elif STATES[k] == "lost_question":
+                marks = [t.start() for t in re.finditer(r"\?", m.group()) if states[m.start() + t.start()] == k]
+                if len(marks) > 1:
+                    return True
+            else:
+                at = np.flatnonzero(states[m.start() : m.end()] == k) + m.start()
+                lo, hi = text.rfind(" ", 0, at[0]) + 1, text.find(" ", at[-1])
+                span = text[lo : hi if hi >= 0 else len(text)]
+                if unicodedata.normalize("NFC", span) != undo(span, STATES[k])[0]:
+                    return True
+    return False
+
+
+def paths(texts: list[str]) -> list[np.ndarray]:
+    """Labels of texts, all clean where no labelled span is confirmed by decoding it."""
+    out = label(texts)
+    for i, p in enumerate(out):
+        if p.any() and not _confirmed(texts[i], p):
+            out[i] = np.zeros_like(p)
+    return out
+
+
 def garbled(texts: list[str]) -> np.ndarray:
     """Whether each text is garbled somewhere."""
-    return np.array([bool(p.any()) for p in label(texts)], bool)
+    return np.array([bool(p.any()) for p in paths(texts)], bool)
 
 
 def found_batches(batches):
@@ -421,7 +452,7 @@ def found_batches(batches):
     for b in batches:
         texts = b.column(2).to_pylist()
         ids, fields, encodings, restored = [], [], [], []
-        for i, path in enumerate(label(texts)):
+        for i, path in enumerate(paths(texts)):
             if path.any():
                 fixed, states = repair(texts[i], path)
                 ids.append(b.column(0)[i].as_py())
