@@ -31,11 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def latest_pairs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """pair_corpus once per pair_id: pairs delivered again carry the same content, so any copy will do."""
-    return table(spark, sf_dir, "pair_corpus").select("pair_id", "translation", *columns).dropDuplicates(["pair_id"])
-
-
 def ship(spark: SparkSession) -> None:
     """Let Python workers import the package where they don't find it by themselves: by PYTHONPATH or their folder."""
     package = Path(__file__).resolve().parents[1]

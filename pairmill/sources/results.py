@@ -82,12 +82,12 @@ def _scalar(v: str):
     return v.strip("'\"")
 
 
-def run_config(threshold: float, base: str = ".", max_steps: int = 5000) -> dict:
+def run_config(threshold: float, base: str = ".", max_steps: int = 5000, model: str = "nllb-200-distilled-600M") -> dict:
     """Settings of a training run on the pairs above a threshold, as data for whatever trains."""
     label = int(threshold * 100)
     data = f"{base}/data/sweep/semantic_{label}"
     return {
-        "model": {"name": "facebook/nllb-200-distilled-600M", "src_lang": "kor_Hang", "tgt_lang": "vie_Latn"},
+        "model": {"name": model, "src_lang": "kor_Hang", "tgt_lang": "vie_Latn"},
         "data": {**{f"{s}_file": f"{data}/nllb_{s}.jsonl" for s in ("train", "dev", "test")}, "max_length": 256},
         "training": {"output_dir": f"{base}/outputs/sweep/semantic_{label}", "num_train_epochs": 1, "max_steps": max_steps, "learning_rate": 5e-05, "warmup_steps": 500},
         "generation": {"num_beams": 5, "max_length": 256},
