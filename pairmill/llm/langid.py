@@ -215,11 +215,10 @@ class Detector:
             idx = np.repeat(spans - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
             first = np.r_[0, np.cumsum(sizes)[:-1]]
             kind = _kinds(b[idx])
-            c = np.add.reduceat(_KIND[:, 0][kind], first)
-            d = np.add.reduceat(_KIND[:, 1][kind], first)
-            latin, viet = c & 0x1FFFFF, (c >> 21) & 0x1FFFFF
-            ko, han, kana, cyr = d & 0xFFFF, (d >> 16) & 0xFFFF, (d >> 32) & 0xFFFF, d >> 48
-            roman = latin + viet + (c >> 42)
+            # one sum a kind, as a text of any length may be among them
+            latin, viet, other = (np.add.reduceat(_KIND[:, 0][kind] >> at & 1, first) for at in (0, 21, 42))
+            ko, han, kana, cyr = (np.add.reduceat(_KIND[:, 1][kind] >> at & 1, first) for at in (0, 16, 32, 48))
+            roman = latin + viet + other
             pick = np.where((ko >= 4) & (ko * 2 >= roman), 0, np.where((viet >= 2) & (roman >= 10) & (ko == 0), 1, np.where((kana >= 2) & (han + kana >= 4) & (ko == 0), 4, np.where((han >= 4) & (ko == 0), 3, np.where(cyr >= 8, 7, -1)))))
             hit = pick >= 0
             out[left[hit]] = 1 << pick[hit]
@@ -254,6 +253,10 @@ def train(labelled: list[tuple[str, str]], epochs: int = 6) -> Compiled:
             share = {k: ((rows >= lo) & (rows <= hi)).mean(1) for k, (lo, hi) in scripts.items()}
             fits = share[lang] > 0.1 if lang in scripts else np.maximum.reduce(list(share.values())) < 0.05
             xs.setdefault(LANGS.index(lang), []).append(rows[fits])
+    if not xs:  # nothing to learn from: scripts alone decide, and no Latin text is told from another
+        net = ByteCNN(len(LANGS))
+        net.out[:] = 0
+        return Compiled(net)
     x, y = [], []
     each = MAX_WINDOWS // len(LANGS)
     for k, parts in xs.items():

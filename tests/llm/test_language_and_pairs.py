@@ -109,3 +109,16 @@ def test_queries(spark, tmp_path):
     assert p4 == [("eval_results", 9, 0, "empty"), ("eval_results", 9, 2, "truncated"), ("pair_corpus", 2, 0, "truncated"), ("pair_corpus", 3, 0, "empty"), ("pair_corpus", 4, 0, "other_language"), ("pair_corpus", 6, 0, "empty")]
     p1 = sorted(map(tuple, catalog.p1_found(spark, str(tmp_path)).collect()))
     assert p1 == sorted([("documents", 1, "text", "ko"), ("documents", 2, "text", "vi"), ("documents", 3, "text", "ko"), ("documents", 3, "text", "fr"), ("pair_corpus", 4, "kor_Hang", "vi"), ("pair_corpus", 4, "vie_Latn", "ko"), ("pair_corpus", 5, "kor_Hang", "ko"), ("pair_corpus", 5, "kor_Hang", "zh")])
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "pair_id bigint, translation struct<kor_Hang:string,vie_Latn:string>").write.parquet(f"{tmp_path}/pair_corpus.parquet")
+    spark.createDataFrame([], "run_id bigint, samples array<struct<source:string,reference:string,prediction:string>>").write.parquet(f"{tmp_path}/eval_results.parquet")
+    spark.createDataFrame([], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for query in (catalog.p1_found, catalog.p1_segments, catalog.p4_found):
+        assert query(spark, str(tmp_path)).count() == 0
+
+
+def test_without_training_scripts_decide():
+    own = langid.Detector(langid.train([]))
+    assert languages(own, [SENTENCES["ko"][0], SENTENCES["ru"][0], SENTENCES["vi"][0], SENTENCES["en"][0], "가나\n" * 40000]) == [{"ko"}, {"ru"}, {"vi"}, set(), {"ko"}]
