@@ -28,7 +28,14 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out where a small input comes in fewer splits than there are cores, as one row group does. Column
+    pruning and filters pass through; a table with enough splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def ship(spark: SparkSession) -> None:
