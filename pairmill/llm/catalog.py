@@ -93,7 +93,8 @@ def p7_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     targets = table(spark, sf_dir, "mix_targets")
-    return mixture.mixture(mixture.counted(table(spark, sf_dir, "documents"), targets), targets)
+    tokens = mixture.counted(table(spark, sf_dir, "documents"), targets)
+    return mixture.mixture(tokens, targets, mixture.whole(tokens, targets))
 
 
 def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

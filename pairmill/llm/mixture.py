@@ -71,6 +71,12 @@ def instant(stock: dict[str, float], weight: dict[str, float], budget: float | N
     return float("inf")
 
 
+def whole(tokens: DataFrame, targets: DataFrame) -> float:
+    """Tokens of all documents whose source may be used: the budget at which the mixture is as large as what it is made from."""
+    usable = targets.where("target_share > 0 and max_copies > 0").select("source").distinct()
+    return float(tokens.join(F.broadcast(usable), "source", "left_semi").agg(F.sum("tokens")).first()[0] or 0)
+
+
 def mixture(tokens: DataFrame, targets: DataFrame, budget: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(mixture, shares). tokens: doc_id, source, tokens; targets: source, target_share, max_copies, one row a source.
 

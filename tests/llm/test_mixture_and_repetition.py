@@ -49,6 +49,21 @@ def test_mixture(spark, budget):
         assert budget - 5 * 40 <= sum(x.tokens for x in rows) <= budget
 
 
+def test_a_tiny_source_does_not_size_the_mixture(spark, monkeypatch):
+    from pairmill.llm import catalog
+
+    tokens = spark.createDataFrame([(i, "big" if i else "tiny", 10) for i in range(101)] + [(500, "unused", 10), (501, "none", 10)], "doc_id bigint, source string, tokens bigint")
+    targets = spark.createDataFrame([("big", 0.5, 2), ("tiny", 0.5, 3), ("unused", 0.0, 3)], "source string, target_share double, max_copies int")
+    monkeypatch.setattr(catalog, "table", lambda spark, path, name: targets)
+    monkeypatch.setattr(mixture, "counted", lambda documents, targets: tokens)
+    assert mixture.whole(tokens, targets) == 1010
+    rows = catalog.p8_mixture(spark, "").collect()
+    assert sorted((x.copy, x.tokens) for x in rows if x.source == "tiny") == [(1, 10), (2, 10), (3, 10)]
+    assert sum(x.tokens for x in rows) == 1010 and len({x.doc_id for x in rows if x.source == "big"}) == 98
+    got = {x.source: x for x in catalog.p8_shares(spark, "").collect()}
+    assert got["tiny"].most_copies == 3 and abs(got["tiny"].share_reached - 30 / 1010) < 1e-5 and got["unused"].tokens == 0
+
+
 def test_mixture_of_nothing(spark):
     t = spark.createDataFrame([], "doc_id bigint, source string, tokens bigint")
     mix, shares = mixture.mixture(t, spark.createDataFrame([("a", 1.0, 2, 0)], TARGETS))
