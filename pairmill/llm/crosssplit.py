@@ -1,9 +1,11 @@
 """Rows of evaluation splits that recur in training, exactly or almost.
 
-Each text gets a similarity hash of BITS bits over its words. Codes are cut into blocks; an evaluation text looks up
-each of its blocks, and the blocks that differ in its least certain bits, among the training texts' blocks. Pairs
-within RADIUS bits, and pairs of equal folded streams, are verified on their words. Equal texts of a split go through
-all this once, as a class, and are expanded at the end.
+Texts of which at most a sixth of the words differ share five sixths of their words, the occurrences of a repeated word
+told apart. So if the words of both are put in one order, rare ones first, the first n - ceil(5 n / 6) + k of each hold
+k words in common: texts meet by the pairs of these words (k = 2), long ones by single words (k = 1), and none is
+missed whatever the order. Pairs whose lengths or parity bitmaps tell that too many words differ go, the others, and
+pairs of equal folded streams, are verified on their words. Equal texts of a split go through all this once, as a
+class, and are expanded at the end.
 """
 
 from __future__ import annotations
@@ -20,17 +22,20 @@ from pairmill.plans.runtime import cut
 
 from .streams import mix, text_hashes, words
 
-BITS, BLOCK_BITS, BLOCKS, WEAK, RADIUS = 256, 16, 16, 4, 68
-# Blocks of 16 bits, 4 of them flipped, find 99.3 to 99.7 % of texts with just a sixth of their words changed by one of
-# their two columns alone (1,500 texts each of 6, 12, 18 and 30 words), all of those with up to 15 %.
+BITS, BLOCK_BITS, BLOCKS, WEAK = 256, 16, 16, 4
+#: Words up to which texts meet by pairs of words; buckets of the counts that put words in order; part of training counted.
+PAIRED, BUCKETS, COUNTED = 120, 1 << 16, 8
 #: Parts into which the rows of one text are dealt.
 PARTS = 16
 #: Most of a text's words that may be changed, dropped, added or moved.
 CHANGED = 1 / 6
-HASHED = "split string, pair_no bigint, source string, h1 bigint, h2 bigint, c0 bigint, c1 bigint, c2 bigint, c3 bigint, blocks array<bigint>, text string"
+HASHED = "split string, pair_no bigint, source string, h1 bigint, h2 bigint, c0 bigint, c1 bigint, c2 bigint, c3 bigint, n bigint, keys array<bigint>, text string"
 _FLIPS = np.array([sum(1 << k for k in c) for n in range(WEAK + 1) for c in itertools.combinations(range(WEAK), n)])
 
 
+# The similarity hash (margins, blocks_of) can miss pairs; `overlaps` doesn't use it.
+
+
 def margins(texts: list[str]) -> np.ndarray:
     """Sum over the words of each text of the signs of the words' BITS hash bits; its sign is the code, its size the certainty."""
     h, starts, _, _ = words(texts)
@@ -62,7 +67,66 @@ def blocks_of(margin: np.ndarray, probe: bool) -> np.ndarray:
     return np.concatenate(out, 1)
 
 
-def hash_batches(probe: bool):
+def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word with the number of its occurrence in its text, so that a change of a repeated word moves one
+    feature, and where each text's features begin."""
+    h, starts, _, _ = words(texts)
+    owner = np.repeat(np.arange(len(texts)), np.diff(starts))
+    order = np.lexsort((h, owner))
+    hs, os = h[order], owner[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (hs[1:] != hs[:-1]) | (os[1:] != os[:-1])
+    place = np.arange(len(h))
+    nth = place - np.maximum.accumulate(np.where(new, place, 0))
+    out = np.empty_like(h)
+    out[order] = mix(hs + mix(nth.astype(np.uint64)))
+    return out, starts
+
+
+def _bucket(f: np.ndarray) -> np.ndarray:
+    return (f % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def count_batches(batches):
+    """Arrow batches (text) -> (bucket, n): how many features fall into each bucket."""
+    for b in batches:
+        u, n = np.unique(_bucket(features(b.column(0).to_pylist())[0]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n.astype(np.int64))], ["bucket", "n"])
+
+
+def keys_of(f: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Keys of each text, of which texts near enough have one in common. counts: of each bucket; any will do, those of the texts are quick.
+
+    Texts of fewer than 5 words are near to equal ones only.
+    """
+    size = np.diff(starts)
+    owner = np.repeat(np.arange(len(size)), size)
+    f = f[np.lexsort((f, counts[_bucket(f)], owner))]
+    out = [np.zeros(0, np.uint64)] * len(size)
+    for n in np.unique(size[size >= 5]).tolist():
+        rows = np.flatnonzero(size == n)
+        first = n - -(-5 * n // 6) + 2
+        x = f[starts[rows][:, None] + np.arange(first)]
+        parts = []
+        if n <= PAIRED:
+            i, j = np.triu_indices(first, 1)
+            parts.append(mix(x[:, i] + mix(x[:, j])))
+        if 6 * n > 5 * PAIRED:  # the other text may have more than PAIRED words
+            parts.append(x[:, : first - 1])
+        for row, key in zip(rows.tolist(), np.concatenate(parts, 1), strict=True):
+            out[row] = key
+    return out
+
+
+def bitmaps(f: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """BITS bits of each text, each feature flips one: two texts' bits differ in as many places at most as their features."""
+    size = np.diff(starts)
+    owner = np.repeat(np.arange(len(size)), size)
+    flips = np.bincount(owner * BITS + (f >> np.uint64(40)).astype(np.int64) % BITS, minlength=len(size) * BITS).reshape(-1, BITS)
+    return np.packbits((flips & 1).astype(np.uint8), axis=1).view(np.int64).reshape(-1, BITS // 64)
+
+
+def hash_batches(counts: np.ndarray):
     """Arrow batches (split, pair_no, source, text) -> HASHED rows; texts without a letter, digit or symbol are left out."""
 
     def run(batches):
@@ -72,14 +136,15 @@ def hash_batches(probe: bool):
             for at in range(0, len(texts), 2000):
                 rows = np.arange(at, min(at + 2000, len(texts)))
                 rows = rows[size[rows] > 0]
-                margin = margins([texts[i] for i in rows])
-                code = np.packbits(margin > 0, axis=1).view(np.int64).reshape(-1, BITS // 64) if len(rows) else np.zeros((0, 4), np.int64)
-                keys = blocks_of(margin, probe)
+                if not len(rows):
+                    continue
+                f, starts = features([texts[i] for i in rows])
+                code, keys = bitmaps(f, starts), keys_of(f, starts, counts)
                 take = pa.array(rows)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, max(keys.shape[1], 1), dtype=np.int32) if len(rows) else [0], pa.int32()), pa.array(keys.ravel()))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(k) for k in keys])], pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(take), b.column(1).take(take), b.column(2).take(take), pa.array(h1[rows].view(np.int64)), pa.array(h2[rows].view(np.int64)), *[pa.array(np.ascontiguousarray(code[:, k])) for k in range(4)], lists, b.column(3).take(take)],
-                    ["split", "pair_no", "source", "h1", "h2", "c0", "c1", "c2", "c3", "blocks", "text"],
+                    [b.column(0).take(take), b.column(1).take(take), b.column(2).take(take), pa.array(h1[rows].view(np.int64)), pa.array(h2[rows].view(np.int64)), *[pa.array(np.ascontiguousarray(code[:, k])) for k in range(4)], pa.array(np.diff(starts)), lists, b.column(3).take(take)],
+                    ["split", "pair_no", "source", "h1", "h2", "c0", "c1", "c2", "c3", "n", "keys", "text"],
                 )
 
     return run
@@ -125,22 +190,28 @@ def overlaps(train: DataFrame, evals: dict[str, DataFrame]) -> DataFrame:
     Either text of one row may match either text of the other. Null and empty texts match nothing; ties and repeated
     rows come out once for each pair of pair_no.
     """
-    t = cut(_texts(train, "train").mapInArrow(hash_batches(False), HASHED))
     rows = None
     for name, df in evals.items():
         rows = _texts(df, name) if rows is None else rows.unionAll(_texts(df, name))
-    e = cut(rows.mapInArrow(hash_batches(True), HASHED))
+    some = _texts(train, "train").where(F.pmod(F.xxhash64("pair_no"), F.lit(COUNTED)) == 0)
+    counts = np.zeros(BUCKETS, np.int64)
+    for r in some.select("text").mapInArrow(count_batches, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_batches():  # BUCKETS rows at most
+        counts[r.column(0).to_numpy()] = r.column(1).to_numpy()
+    t = cut(_texts(train, "train").mapInArrow(hash_batches(counts), HASHED))
+    e = cut(rows.mapInArrow(hash_batches(counts), HASHED))
 
     def classes(df: DataFrame, p: str) -> DataFrame:
-        one = df.groupBy("h1", "h2").agg(F.min_by(F.struct("c0", "c1", "c2", "c3", "blocks", "text"), "pair_no").alias("r"))
-        return one.select(F.col("h1").alias(f"{p}h1"), F.col("h2").alias(f"{p}h2"), *[F.col(f"r.c{k}").alias(f"{p}{k}") for k in range(4)], F.col("r.blocks").alias(f"{p}blocks"), F.col("r.text").alias(f"{p}text"))
+        one = df.groupBy("h1", "h2").agg(F.min_by(F.struct("c0", "c1", "c2", "c3", "n", "keys", "text"), "pair_no").alias("r"))
+        return one.select(F.col("h1").alias(f"{p}h1"), F.col("h2").alias(f"{p}h2"), *[F.col(f"r.c{k}").alias(f"{p}{k}") for k in range(4)], F.col("r.n").alias(f"{p}n"), F.col("r.keys").alias(f"{p}keys"), F.col("r.text").alias(f"{p}text"))
 
     ec, tc = cut(classes(e, "e")), cut(classes(t, "t"))
-    left = ec.select("eh1", "eh2", "e0", "e1", "e2", "e3", F.explode("eblocks").alias("key"))
-    right = tc.select("th1", "th2", "t0", "t1", "t2", "t3", F.explode("tblocks").alias("key"))
+    left = ec.select("eh1", "eh2", "e0", "e1", "e2", "e3", "en", F.explode("ekeys").alias("key"))
+    right = tc.select("th1", "th2", "t0", "t1", "t2", "t3", "tn", F.explode("tkeys").alias("key"))
     apart = sum((F.bit_count(F.col(f"e{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(4)), F.lit(0))
+    # of the features of both, five sixths of the longer text's are shared at least
+    most = F.col("en") + F.col("tn") - 2 * F.ceil(5 * F.greatest("en", "tn") / 6)
     # explode makes either side larger than Spark estimates, so it must not pick a broadcast
-    near = left.hint("merge").join(right, "key").where(apart <= RADIUS).select("eh1", "eh2", "th1", "th2")
+    near = left.hint("merge").join(right, "key").where(apart <= most).select("eh1", "eh2", "th1", "th2")
     equal = ec.join(tc, (F.col("eh1") == F.col("th1")) & (F.col("eh2") == F.col("th2"))).select("eh1", "eh2", "th1", "th2")
     candidates = near.unionAll(equal).distinct()
     texts = candidates.join(ec.select("eh1", "eh2", "etext"), ["eh1", "eh2"]).join(tc.select("th1", "th2", "ttext"), ["th1", "th2"])

@@ -123,6 +123,44 @@ def test_changes_at_the_limit():
     assert crosssplit.changes(words, [*words[1:], words[0]]) == 1 and crosssplit.changes([], []) == 0 and crosssplit.changes(["a"], []) == 1
 
 
+def sixth_changed(r, n, repeated):
+    """A text of n words and one with just a sixth of them changed; with `repeated`, these are all one word."""
+    word = lambda: "".join(r.choice("가나다라마바사아자차카타파하") for _ in range(4))
+    a = [word() for _ in range(n)]
+    at = r.sample(range(n), n // 6)
+    if repeated:
+        for i in at:
+            a[i] = a[at[0]]
+    b, new = a.copy(), word()
+    for i in at:
+        b[i] = new if repeated else word()
+    return " ".join(a), " ".join(b)
+
+
+@pytest.mark.parametrize("n", [6, 12, 18, 24, 30, 130, 150])
+@pytest.mark.parametrize("repeated", [False, True])
+def test_texts_with_a_sixth_changed_always_meet(n, repeated):
+    import numpy as np
+
+    r = random.Random(n)
+    pairs = [sixth_changed(r, n, repeated) for _ in range(200)]
+    f, starts = crosssplit.features([t for p in pairs for t in p])
+    counts = np.random.default_rng(1).integers(0, 9, crosssplit.BUCKETS)
+    keys, bits = crosssplit.keys_of(f, starts, counts), crosssplit.bitmaps(f, starts)
+    for i in range(0, 400, 2):
+        assert set(keys[i].tolist()) & set(keys[i + 1].tolist())
+        assert sum((int(x) ^ int(y)).bit_count() for x, y in zip(bits[i].view("u8"), bits[i + 1].view("u8"), strict=True)) <= 2 * n - 2 * -(-5 * n // 6)
+
+
+def test_overlaps_with_a_repeated_word_changed(spark):
+    r = random.Random(5)
+    pairs = [sixth_changed(r, n, True) for n in (12, 18, 24) for _ in range(30)]
+    row = lambda i, t: (i, t, None, "s", "x", 1)
+    train = spark.createDataFrame([row(1000 + i, a) for i, (a, _) in enumerate(pairs)], SPLIT)
+    found = crosssplit.overlaps(train, {"dev": spark.createDataFrame([row(i, b) for i, (_, b) in enumerate(pairs)], SPLIT)})
+    assert {(x.eval_id, x.train_id) for x in found.collect()} == {(i, 1000 + i) for i in range(len(pairs))}
+
+
 def test_blocks_of_equal_texts_meet():
     m = crosssplit.margins(["một hai ba bốn", "Một, hai ba bốn!", ""])
     assert (m[0] == m[1]).all() and not m[2].any()
