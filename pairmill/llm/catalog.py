@@ -113,7 +113,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Own perplexity of every document and, below its language's band, its share of repeated words."""
+    """Own perplexity of every document and its share of repeated words."""
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
 

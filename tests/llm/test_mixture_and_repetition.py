@@ -112,6 +112,18 @@ def test_repetition_against_brute_force(spark):
     assert 900 not in got and got[901].self_perplexity is None and not got[903].below_band
 
 
+def test_every_spaced_document_has_a_share(spark):
+    r = random.Random(3)
+    docs = []
+    for d in range(60):
+        words = [f"w{r.randrange(10_000)}" for _ in range(100)]
+        docs.append((d, words + words[: d % 4 * 7]))
+    rows = [(d, " ".join(w), "vi") for d, w in docs] + [(901, "", "vi"), (902, "a b a b", "vi"), (903, "东西南北中。" * 20, "zh")]
+    got = {x.doc_id: x for x in repetition.repetition(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert all(abs(got[d].repeated_share - share_of(w)) < 1e-12 for d, w in docs) and sum(not got[d].below_band for d, _ in docs) >= 15
+    assert got[901].repeated_share == got[902].repeated_share == 0 and got[903].repeated_share is None
+
+
 def test_discounts():
     assert repetition.discounts(0, 0, 0, 0) == (0.9, 1.3, 1.6)
     d = repetition.discounts(1000, 100, 40, 20)
