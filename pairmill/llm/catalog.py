@@ -23,10 +23,23 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.dropDuplicates(["rec_table", "rec_id", "field", "lang"])
 
 
+def _all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rec_table, rec_id, field, text) of both tables."""
+    pairs = corpus_fields(spark, sf_dir).select(F.lit("pair_corpus").alias("rec_table"), F.col("pair_id").alias("rec_id"), "field", "text")
+    docs = table(spark, sf_dir, "documents").where("text is not null").select(F.lit("documents").alias("rec_table"), F.col("doc_id").alias("rec_id"), F.lit("text").alias("field"), "text")
+    return pairs.unionAll(docs)
+
+
 def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every segment of every document with its language and confidence."""
-    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
-    return docs.mapInArrow(langid.segment_batches(_detector(spark, sf_dir)), "doc_id bigint, seg_no bigint, start bigint, bytes bigint, lang string, confidence double")
+    """Every segment of every text of pairs and documents with its language and confidence; pairs delivered again count once."""
+    rows = _all_texts(spark, sf_dir).mapInArrow(langid.segment_batches(_detector(spark, sf_dir)), "rec_table string, rec_id bigint, field string, seg_no bigint, start bigint, bytes bigint, lang string, confidence double")
+    return rows.dropDuplicates(["rec_table", "rec_id", "field", "seg_no"])
+
+
+def p1_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of pairs and documents with its main language and confidence."""
+    rows = _all_texts(spark, sf_dir).mapInArrow(langid.text_batches(_detector(spark, sf_dir)), "rec_table string, rec_id bigint, field string, lang string, confidence double")
+    return rows.dropDuplicates(["rec_table", "rec_id", "field"])
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +135,7 @@ def p9_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.corpus_perplexity(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_records, p4_found, p6_found, p6_counts, p7_found, p7_leaks, p8_mixture, p8_shares, p9_found, p9_repetition, p9_perplexity, p3_found, p3_canonical, p5_found, p5_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_segments, p1_texts, p2_found, p2_records, p4_found, p6_found, p6_counts, p7_found, p7_leaks, p8_mixture, p8_shares, p9_found, p9_repetition, p9_perplexity, p3_found, p3_canonical, p5_found, p5_restored)}
 # White space as Python's str.isspace sees it.
 _SPACE = "\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 

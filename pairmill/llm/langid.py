@@ -151,6 +151,42 @@ class Detector:
     def __init__(self, net: Compiled):
         self.net = net
 
+    @staticmethod
+    def _evidence(b: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Bytes of each kind in stretches that begin at `starts`: Latin, Vietnamese, other Latin, Hangul, Han, kana, Cyrillic."""
+        kind = _kinds(b)
+        c = np.add.reduceat(_KIND[:, 0][kind], starts)
+        d = np.add.reduceat(_KIND[:, 1][kind], starts)
+        return c & 0x1FFFFF, (c >> 21) & 0x1FFFFF, c >> 42, d & 0xFFFF, (d >> 16) & 0xFFFF, (d >> 32) & 0xFFFF, d >> 48
+
+    def _scores(self, b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Log probabilities of the languages, added up over each stretch."""
+        score = np.zeros((len(starts), len(LANGS)), np.float32)
+        for lo in range(0, len(starts), 20000):
+            rows, own = windows(b, starts[lo : lo + 20000], ends[lo : lo + 20000])
+            score[lo : lo + 20000] = np.add.reduceat(self.net.log_probabilities(rows), np.flatnonzero(np.r_[True, own[1:] != own[:-1]]), axis=0)
+        return score
+
+    @staticmethod
+    def _decide(score, r, vn, k, h, n, y) -> tuple[np.ndarray, np.ndarray]:
+        """Language number and its probability: scores, narrowed by the counts of Latin, Vietnamese, Hangul, Han, kana and Cyrillic."""
+        block = np.maximum.reduce([k * 3, (h + n) * 3, y * 2])
+        is_roman = r > block
+        ok = np.zeros(score.shape, bool)
+        ok[:, 0] = ~is_roman & (k >= h + n) & (k * 3 >= y * 2)
+        ok[:, [1, 2, 5, 6]] = is_roman[:, None]
+        east = ~is_roman & (h + n > k) & ((h + n) * 3 >= y * 2)
+        ok[:, 3] = east & (n * 6 < h)
+        ok[:, 4] = east & (n >= 1)
+        ok[:, 7] = ~is_roman & ~ok[:, 0] & ~east
+        score[~ok] -= 60
+        score[:, 1] += np.where(is_roman & (vn >= 2) & (vn * 20 >= r), 12, 0)
+        score -= score.max(1, keepdims=True)
+        prob = np.exp(score)
+        prob /= prob.sum(1, keepdims=True)
+        best = prob.argmax(1)
+        return best, prob[np.arange(len(score)), best]
+
     def segments(self, texts: pa.Array):
         """(owner, start, end, language number or -1, confidence) of every segment; bytes within the batch, and the batch's bytes and offsets."""
         b, offsets = flat(texts)
@@ -161,12 +197,8 @@ class Detector:
         ends = np.append(starts[1:], len(b))
         owner = np.searchsorted(offsets, starts, side="right") - 1
         ends = np.minimum(ends, offsets[owner + 1])
-        kind = _kinds(b)
-        c = np.add.reduceat(_KIND[:, 0][kind], starts)
-        d = np.add.reduceat(_KIND[:, 1][kind], starts)
+        latin, viet, l1, ko, han, kana, cyr = self._evidence(b, starts)
         spaces = np.add.reduceat((b == 32).view(np.uint8), starts, dtype=np.int32)
-        latin, viet, l1 = c & 0x1FFFFF, (c >> 21) & 0x1FFFFF, c >> 42
-        ko, han, kana, cyr = d & 0xFFFF, (d >> 16) & 0xFFFF, (d >> 32) & 0xFFFF, d >> 48
         roman = latin + viet + l1
         sentence = (roman > HEADING) | _ended(b, ends)
         counts = ((roman >= LEAST_LATIN) & (spaces >= LEAST_WORDS - 1) & sentence) | (ko >= LEAST_BLOCK) | (han + kana >= LEAST_BLOCK) | (cyr >= LEAST_LATIN)
@@ -174,33 +206,30 @@ class Detector:
         sure = np.zeros(len(starts), np.float32)
         at = np.flatnonzero(counts)
         if len(at):
-            score = np.zeros((len(at), len(LANGS)), np.float32)
-            for lo in range(0, len(at), 20000):
-                part = at[lo : lo + 20000]
-                rows, own = windows(b, starts[part], ends[part])
-                score[lo : lo + 20000] = np.add.reduceat(self.net.log_probabilities(rows), np.flatnonzero(np.r_[True, own[1:] != own[:-1]]), axis=0)
-            r, k, h, n, y = roman[at], ko[at], han[at], kana[at], cyr[at]
-            block = np.maximum.reduce([k * 3, (h + n) * 3, y * 2])
-            is_roman = r > block
-            ok = np.zeros((len(at), len(LANGS)), bool)
-            ok[:, 0] = ~is_roman & (k >= h + n) & (k * 3 >= y * 2)
-            ok[:, [1, 2, 5, 6]] = is_roman[:, None]
-            east = ~is_roman & (h + n > k) & ((h + n) * 3 >= y * 2)
-            ok[:, 3] = east & (n * 6 < h)
-            ok[:, 4] = east & (n >= 1)
-            ok[:, 7] = ~is_roman & ~ok[:, 0] & ~east
-            score[~ok] -= 60
-            vn = viet[at]
-            score[:, 1] += np.where(is_roman & (vn >= 2) & (vn * 20 >= r), 12, 0)
-            score -= score.max(1, keepdims=True)
-            prob = np.exp(score)
-            prob /= prob.sum(1, keepdims=True)
-            best = prob.argmax(1)
-            conf = prob[np.arange(len(at)), best]
+            best, conf = self._decide(self._scores(b, starts[at], ends[at]), roman[at], viet[at], ko[at], han[at], kana[at], cyr[at])
             lang[at] = np.where(conf >= SURE, best, -1)
             sure[at] = conf
         return owner, starts, ends, lang, sure, b, offsets
 
+    def main(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Language number and confidence of each text as a whole: the language of most of its segments' bytes, each weighed
+        by its confidence, and its part of all bytes judged. Without a sure segment all of a text is judged at once;
+        -1 and 0 where it has no letters of a known script."""
+        owner, starts, ends, lang, sure, b, offsets = self.segments(texts)
+        size, good = ends - starts, lang >= 0
+        weight = np.zeros((len(texts), len(LANGS)))
+        np.add.at(weight, (owner[good], lang[good]), (size * sure)[good])
+        judged = np.bincount(owner[sure > 0], size[sure > 0], minlength=len(texts))
+        best, conf = weight.argmax(1), weight.max(1, initial=0) / np.maximum(judged, 1)
+        left = (weight.sum(1) == 0)[owner]
+        if left.any():
+            text, first = np.unique(owner[left], return_index=True)
+            kinds = [np.add.reduceat(x[left], first) for x in self._evidence(b, starts)]
+            latin, viet, l1, ko, han, kana, cyr = kinds
+            some, p = self._decide(np.add.reduceat(self._scores(b, starts[left], ends[left]), first, axis=0), latin + viet + l1, viet, ko, han, kana, cyr)
+            best[text], conf[text] = some, np.where(sum(kinds) > 0, p, 0)
+        return np.where(conf > 0, best, -1), conf
+
     def languages(self, texts: pa.Array) -> np.ndarray:
         """Set of languages of each text, as bits; 0 where nothing can be told."""
         owner, starts, ends, lang, _, b, offsets = self.segments(texts)
@@ -317,13 +346,26 @@ def found_batches(detector: Detector):
 
 
 def segment_batches(detector: Detector):
-    """Arrow batches (id, text) -> (id, seg_no, start, length, lang, confidence): places in bytes of the UTF-8 text; lang is null for a segment too short to tell."""
+    """Arrow batches (rec_table, rec_id, field, text) -> (rec_table, rec_id, field, seg_no, start, bytes, lang, confidence): places in bytes of the UTF-8 text; lang is null for a segment too short to tell."""
 
     def run(batches):
         for batch in batches:
-            owner, starts, ends, lang, sure, _, offsets = detector.segments(batch.column(1))
+            owner, starts, ends, lang, sure, _, offsets = detector.segments(batch.column(3))
             no = np.arange(len(owner)) - np.searchsorted(owner, owner, side="left")
             names = pa.array([LANGS[k] if k >= 0 else None for k in lang.tolist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(no), pa.array(starts - offsets[owner]), pa.array(ends - starts), names, pa.array(np.round(sure.astype(float), 4))], ["doc_id", "seg_no", "start", "bytes", "lang", "confidence"])
+            take = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([*[batch.column(k).take(take) for k in range(3)], pa.array(no), pa.array(starts - offsets[owner]), pa.array(ends - starts), names, pa.array(np.round(sure.astype(float), 4))], ["rec_table", "rec_id", "field", "seg_no", "start", "bytes", "lang", "confidence"])
+
+    return run
+
+
+def text_batches(detector: Detector):
+    """Arrow batches (rec_table, rec_id, field, text) -> (rec_table, rec_id, field, lang, confidence) of every text; lang is null without letters of a known script."""
+
+    def run(batches):
+        for batch in batches:
+            lang, conf = detector.main(batch.column(3))
+            names = pa.array([LANGS[k] if k >= 0 else None for k in lang.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(3)], names, pa.array(np.round(conf, 4))], ["rec_table", "rec_id", "field", "lang", "confidence"])
 
     return run

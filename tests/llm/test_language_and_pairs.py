@@ -119,6 +119,19 @@ def test_empty_tables(spark, tmp_path):
         assert query(spark, str(tmp_path)).count() == 0
 
 
+def test_segments_and_languages_of_both_tables(spark, tmp_path, detector, monkeypatch):
+    monkeypatch.setattr(catalog, "_detector", lambda spark, path: detector)
+    ko, vi = SENTENCES["ko"], SENTENCES["vi"]
+    spark.createDataFrame([(1, (" ".join(ko), vi[0] + " " + SENTENCES["en"][1])), (1, (" ".join(ko), vi[0] + " " + SENTENCES["en"][1])), (2, ("책", None)), (3, ("", "123 …"))], "pair_id bigint, translation struct<kor_Hang:string,vie_Latn:string>").write.parquet(f"{tmp_path}/pair_corpus.parquet")
+    spark.createDataFrame([(1, " ".join(SENTENCES["fr"]) + " " + ko[0], "fr"), (2, None, None)], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(map(tuple, catalog.p1_segments(spark, str(tmp_path)).drop("start", "bytes").collect()))
+    assert [r[:5] for r in rows if r[4]] == [("documents", 1, "text", k, "ko" if k == 4 else "fr") for k in range(5)] + [("pair_corpus", 1, "kor_Hang", k, "ko") for k in range(4)] + [("pair_corpus", 1, "vie_Latn", 0, "vi"), ("pair_corpus", 1, "vie_Latn", 1, "en")]
+    assert all(r[5] > 0.5 for r in rows if r[4])
+    texts = {tuple(r)[:3]: (r.lang, r.confidence) for r in catalog.p1_texts(spark, str(tmp_path)).collect()}
+    assert {k: v[0] for k, v in texts.items()} == {("documents", 1, "text"): "fr", ("pair_corpus", 1, "kor_Hang"): "ko", ("pair_corpus", 1, "vie_Latn"): texts["pair_corpus", 1, "vie_Latn"][0], ("pair_corpus", 2, "kor_Hang"): "ko", ("pair_corpus", 3, "kor_Hang"): None, ("pair_corpus", 3, "vie_Latn"): None}
+    assert texts["pair_corpus", 1, "vie_Latn"][1] < 0.7 and texts["pair_corpus", 1, "kor_Hang"][1] > 0.9 and texts["pair_corpus", 3, "vie_Latn"][1] == 0
+
+
 def test_without_training_scripts_decide():
     own = langid.Detector(langid.train([]))
     assert languages(own, [SENTENCES["ko"][0], SENTENCES["ru"][0], SENTENCES["vi"][0], SENTENCES["en"][0], "가나\n" * 40000]) == [{"ko"}, {"ru"}, {"vi"}, set(), {"ko"}]
