@@ -106,7 +106,7 @@ _EMOJI = regex.compile(EMOJI)
 _ETH = "ðÐƉɖ"
 
 #: Java pattern of texts that may have an entry; the transducer leaves every other text as it is.
-TRIGGER = r"[^ -~\n\r\tÀ-ÏÑ-ïñ-ɏẠ-ỹ가-힣一-鿿ぁ-ヾ、-】‐-―‘-‟…·«»°♪]"
+TRIGGER = r"[^ -~\n\r\tÀ-ÏÑ-ïñ-\u0188\u018A-ɏẠ-ỹ가-힣一-鿿ぁ-\u3098\u309B-ヾ、-】‐-―‘-‟…·«»°♪]"
 
 
 def canonical(text: str) -> str:

@@ -95,6 +95,17 @@ def test_mapping_has_no_conflict_and_one_pass_is_enough():
         assert C.canonical(once) == once and unicodedata.is_normalized("NFC", once)
 
 
+def test_the_trigger_meets_every_entry():
+    assert [s for s in C.mapping() if not re.search(C.TRIGGER, s)] == []
+    for t, usual in {"\u0189i vao ga.": "Đi vao ga.", "か\u3099": "が", "は\u309a": "ぱ"}.items():
+        assert C.canonical(t) == usual and re.search(C.TRIGGER, t)
+
+
+def test_a_lone_stand_in_is_found(spark, tmp_path):
+    sf = write(spark, tmp_path, "pair_corpus", [(1, ("가", "\u0189i vao ga."))], "pair_id bigint, translation struct<kor_Hang:string,vie_Latn:string>")
+    assert list(map(tuple, catalog.p3_canonical(spark, sf).collect())) == [(1, "vie_Latn", "Đi vao ga.")]
+
+
 def write(spark, path, name, rows, schema):
     spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
     return str(path)
