@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.operators import compare, dedup, metrics, providers, review, rules, sampling, semantic, stats
@@ -20,7 +22,7 @@ def _filter(spark: SparkSession, a: argparse.Namespace) -> None:
         jsonl.write_lines(kept, a.output, order="pair_id")
         stats.rejection_report(done).show(truncate=False)
         return
-    scored = semantic.with_similarity(providers.provide(rows, "src_vec array<float>, tgt_vec array<float>", providers.hashed_vectors()), "src_vec", "tgt_vec").drop("src_vec", "tgt_vec")
+    scored = _scored(rows, a)
     if a.mode == "semantic":
         jsonl.write_lines(semantic.semantic_filter(scored, a.threshold), a.output, order="pair_id")
         return
@@ -30,6 +32,21 @@ def _filter(spark: SparkSession, a: argparse.Namespace) -> None:
     results.write_summary(semantic.sweep_stats(scored, a.thresholds), f"{a.output_dir}/sweep_summary.json", key="threshold", ascii_only=True)
 
 
+def _scored(rows: DataFrame, a: argparse.Namespace) -> DataFrame:
+    """Adds similarity: a field of the lines, or the cosine of the vectors of a named provider."""
+    if a.similarity:
+        return rows.withColumn("similarity", F.try_variant_get(F.try_parse_json("raw"), f"$.{a.similarity}", "double"))
+    if a.provider:
+        module, _, name = a.provider.partition(":")
+        load = getattr(importlib.import_module(module), name)()
+    elif a.mode == "semantic":
+        raise SystemExit("--mode semantic takes its similarities from --similarity FIELD or --provider MODULE:FUNCTION")
+    else:
+        print("warning: without --similarity or --provider the sweep scores pairs with an encoder for tests; its figures mean nothing", file=sys.stderr)
+        load = providers.hashed_vectors()
+    return semantic.with_similarity(providers.provide(rows, "src_vec array<float>, tgt_vec array<float>", load), "src_vec", "tgt_vec").drop("src_vec", "tgt_vec")
+
+
 def _split(spark: SparkSession, a: argparse.Namespace) -> None:
     jsonl.write_splits(sampling.split(jsonl.read_lines(spark, a.input), "ordinal", a.seed), a.output)
 
@@ -83,6 +100,9 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--output")
     f.add_argument("--output-dir", default="data/sweep")
     f.add_argument("--mode", choices=("basic", "semantic", "sweep"), default="basic")
+    given = f.add_mutually_exclusive_group()
+    given.add_argument("--similarity", metavar="FIELD", help="field of the lines that holds the similarity")
+    given.add_argument("--provider", metavar="MODULE:FUNCTION", help="function that, called without arguments, gives the loader of a model of src_vec and tgt_vec, as providers.hashed_vectors does")
     f.add_argument("--langid", action=argparse.BooleanOptionalAction, default=True)
     f.add_argument("--near-dedup", action=argparse.BooleanOptionalAction, default=True)
     f.add_argument("--langid-threshold", type=float, default=0.8)

@@ -118,3 +118,15 @@ def test_command_line(spark, lines, tmp_path, capsys):
     cli.main(["review", "--input", lines, "--output", str(tmp_path / "r.html")])
     cli.main(["dedup", "--input", lines, "--output", str(tmp_path / "dd")])
     assert (tmp_path / "r.html").exists() and spark.read.text(str(tmp_path / "dd")).count() == 3
+
+
+def test_semantic_filter_needs_similarities(spark, tmp_path):
+    lines = tmp_path / "pairs.jsonl"
+    lines.write_text("\n".join('{"translation": {"kor_Hang": "가 %d", "vie_Latn": "a %d"}, "sim": %s}' % (i, i, s) for i, s in enumerate((0.9, 0.5, 0.7, "null"))))
+    out = str(tmp_path / "out")
+    with pytest.raises(SystemExit):
+        cli.main(["filter", "--input", str(lines), "--mode", "semantic", "--output", out])
+    cli.main(["filter", "--input", str(lines), "--mode", "semantic", "--similarity", "sim", "--threshold", "0.7", "--output", out])
+    assert [r.value[-5:] for r in spark.read.text(out).orderBy("value").collect()] == [" 0.9}", " 0.7}"]
+    cli.main(["filter", "--input", str(lines), "--mode", "semantic", "--provider", "pairmill.operators.providers:hashed_vectors", "--threshold", "0", "--output", out])
+    assert spark.read.text(out).count() == 4
