@@ -35,7 +35,7 @@ REFUSAL = regex.compile(
     regex.I,
 )
 #: Java pattern of every text that REFUSAL can match.
-REFUSAL_HINT = r"(?i)(không|chưa|từ chối|khong|chua|tu choi)[^.]{0,40}?(nội dung|yêu cầu|câu|đoạn|văn bản|bài|noi dung|yeu cau|cau|doan|van ban)|\b(request|sentence|passage|text|content|message|question|input|material)\b|(없|어렵|불가능|거부|거절)"
+REFUSAL_HINT = r"(?iu)(không|chưa|từ chối|khong|chua|tu choi)[^.]*?(nội dung|yêu cầu|câu|đoạn|văn bản|bài|noi dung|yeu cau|cau|doan|van ban)|\b(request|sentence|passage|text|content|message|question|input|material)\b|(없|어렵|불가능|거부|거절)"
 
 _HINT = regex.compile(REFUSAL_HINT)
 _OPENERS = {"“": "”", "‘": "’", "«": "»", "「": "」", "『": "』", "(": ")", "[": "]", "{": "}", "（": "）"}
@@ -217,7 +217,7 @@ def defects(prompts: list[str | None], responses: list[str | None]) -> list[str
 
 def needs_parsing(prompt, response):
     """Spark condition that leaves out only pairs in which `defects` could find none: the response is in part Vietnamese,
-    ends its sentence, opens no frame and has no word of a refusal, and the prompt is in another language."""
+    ends its sentence, opens no frame and has no word of a refusal, the prompt is in another language, and both are in their usual form."""
     from pyspark.sql import functions as F
 
     sound = (
@@ -225,6 +225,8 @@ def needs_parsing(prompt, response):
         & response.rlike(r"(?<![.])[.!?][”’»\"')\]]*$")
         & ~response.rlike(r"[`<{\[(“«「\"]")
         & ~response.rlike(REFUSAL_HINT)
+        & ~response.rlike(TRIGGER)
+        & ~F.coalesce(prompt, F.lit("")).rlike(TRIGGER)
         & ~F.coalesce(prompt, F.lit("")).rlike(VIETNAMESE_ONLY)
     )
     return ~F.coalesce(sound, F.lit(False))

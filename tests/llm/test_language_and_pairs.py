@@ -132,6 +132,20 @@ def test_segments_and_languages_of_both_tables(spark, tmp_path, detector, monkey
     assert texts["pair_corpus", 1, "vie_Latn"][1] < 0.7 and texts["pair_corpus", 1, "kor_Hang"][1] > 0.9 and texts["pair_corpus", 3, "vie_Latn"][1] == 0
 
 
+def test_refusals_that_only_the_usual_form_shows(spark):
+    import unicodedata
+
+    plain = "Tôi không thể dịch nội dung này, xin lỗi vì điều đó."
+    long = "Tôi không thể hỗ trợ giúp bạn cung cấp bản dịch về đoạn văn này được đâu nhé."
+    rows = [(K, unicodedata.normalize("NFD", plain)), (K, plain.replace("không", "kh\u200bông")), (K, plain.upper()), (K, plain)]
+    assert D.defects(*zip(*rows, strict=True)) == ["refusal"] * 4
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, "p string, r string")
+    assert df.where(D.needs_parsing(F.col("p"), F.col("r"))).count() == 4
+    assert D._HINT.search("không " + "x" * 60 + " nội dung này") and (not D.REFUSAL.search(long) or D._HINT.search(long))
+
+
 def test_without_training_scripts_decide():
     own = langid.Detector(langid.train([]))
     assert languages(own, [SENTENCES["ko"][0], SENTENCES["ru"][0], SENTENCES["vi"][0], SENTENCES["en"][0], "가나\n" * 40000]) == [{"ko"}, {"ru"}, {"vi"}, set(), {"ko"}]
