@@ -1,9 +1,10 @@
 """Test passages inside training documents: a BM25 index of the passages, queried with every stretch of every document.
 
-Terms are runs of two words. Weights are divided by what a stretch that repeats enough of the passage has at least, so
-that one threshold, 1, holds for all and no case stays below it. Passages lie in blocks with the greatest weight of each term; a stretch first adds up the terms' bounds, then the
-bounds of each block, and only blocks that can reach the threshold are scored passage by passage. What is retrieved is
-verified by local alignment of the words.
+Terms are pairs of words with at most one word between them in a passage, and two in a document: such a pair survives
+a changed word between its two. Weights are divided by what a stretch that repeats enough of the passage has at least,
+so that one threshold, 1, holds for all and no case stays below it. Passages lie in blocks with the greatest weight of
+each term; a stretch first adds up the terms' bounds, then the bounds of each block, and only blocks that can reach the
+threshold are scored passage by passage. What is retrieved is verified by aligning the words.
 """
 
 from __future__ import annotations
@@ -15,18 +16,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .streams import ngrams, words
+from pairmill.plans.runtime import cut
+
+from .streams import BASE2, mix, powers, words
 
 K1, B = 1.2, 0.75
 #: Passages of a block; passages of one index.
 BLOCK, SLICE = 16, 20000
-#: Share of a passage's words that must be repeated, and what must be left of it when words changed in between are taken off.
-REPEATED, NET = 0.5, 0.36
-#: Least words between the begins of two stretches; a stretch has twice as many. An index takes more if its passages are
-#: long: n words repeated with c changed have n - c >= NET of the passage, so they lie within 2 - NET times its length.
+#: Share of a passage's words that must be repeated.
+REPEATED = 0.5
+#: Most words between two repeated ones where one word is changed: in the passage, in the document (a word may become two).
+PASSAGE_GAP, DOCUMENT_GAP = 1, 2
+#: Least words between the begins of two stretches; a stretch has twice as many.
 STEP = 64
 
 
+def links(h: np.ndarray, starts: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all pairs of words of a text with at most `gap` words between them, and the word each begins at, in order."""
+    p = powers(int(BASE2))
+    end = np.repeat(starts[1:], np.diff(starts))
+    at, out = [], []
+    for d in range(1, gap + 2):
+        i = np.flatnonzero(np.arange(len(h)) + d < end)
+        at.append(i)
+        out.append(mix(h[i] * p[1] + h[i + d] * p[2]))
+    at, out = np.concatenate(at), np.concatenate(out)
+    order = np.argsort(at, kind="stable")
+    return out[order], at[order]
+
+
 class PassageIndex:
     """Immutable; its size is bounded by SLICE passages."""
 
@@ -37,9 +55,13 @@ class PassageIndex:
         self.words = [h[starts[i] : starts[i + 1]] for i in order]
         grams = []
         for w in self.words:
-            g, _ = ngrams(w, np.array([0, len(w)]), 2)
-            grams.append(g)
-        self.grams = grams
+            grams.append(links(w, np.array([0, len(w)]), PASSAGE_GAP)[0])
+        self.places = []
+        for w in self.words:
+            places = defaultdict(list)
+            for k, x in enumerate(w.tolist()):
+                places[x].append(k)
+            self.places.append(dict(places))
         size = np.array([len(g) for g in grams], float)
         self.vocabulary = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
         term, item, tf = [], [], []
@@ -53,10 +75,10 @@ class PassageIndex:
         idf = np.log1p((len(grams) - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * size / max(size.mean(), 1)) if len(size) else size
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[item]) if len(term) else np.zeros(0)
-        self.step = max(STEP, int(np.ceil((2 - NET) * max(map(len, self.words), default=0))))
-        # n words repeated with c changed in between lie in c + 1 runs at most, so n - c - 1 pairs of words are whole;
-        # the lightest so many of a passage's pairs, each counted once, are what a case scores at least
-        need = np.array([max(1, int(np.floor(NET * len(w) - 1)) - (len(g) - len(np.unique(g)))) for w, g in zip(self.words, grams, strict=True)], np.int64)
+        self.step = stretch_of(max(map(len, self.words), default=0))
+        # a case repeats half of the words, so half less one of the links; the lightest so many, each counted once, are its least score
+        least = [-(-len(w) // 2) - 1 - (len(g) - len(np.unique(g))) for w, g in zip(self.words, grams, strict=True)]
+        need = np.maximum(1, np.array(least, np.int64))
         at = np.lexsort((weight, item))
         first = np.searchsorted(item[at], np.arange(len(grams) + 1))
         total = np.r_[0.0, np.cumsum(weight[at])]
@@ -77,7 +99,7 @@ class PassageIndex:
     def retrieve(self, grams: np.ndarray, at: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, passage's place, first and last word) of all passages that some stretch of a text retrieves.
 
-        grams: hashes of runs of two words that begin at words `at`; starts: where each text's words begin.
+        grams: hashes of links that begin at words `at`; starts: where each text's words begin.
         """
         if not len(self.vocabulary) or not len(grams):
             return []
@@ -126,36 +148,48 @@ class PassageIndex:
         return [(t, i, max(0, (min(nos) - 1) * self.step), (max(nos) + 3) * self.step) for (t, i), nos in out.items()]
 
 
-def repeated(passage: np.ndarray, stretch: np.ndarray) -> tuple[float, float]:
-    """Shares of a passage's words that the best local alignment repeats in order, and that are left when each word
-    changed, dropped or added between two of them is taken off."""
-    if not len(passage):
-        return 0.0, 0.0
-    places = defaultdict(list)
-    for i, w in enumerate(passage.tolist()):
-        places[w].append(i)
-    chains: list[tuple[int, int, int, int]] = []  # place in the stretch, in the passage, score, words
-    best = (0, 0)
-    low = 0
-    for j, w in enumerate(stretch.tolist()):
-        if w not in places:
-            continue
-        while low < len(chains) and chains[low][0] < j - len(passage):
-            low += 1
-        new = []
-        for i in places[w]:
-            score, n = 0, 0
-            for q in range(len(chains) - 1, low - 1, -1):
-                jj, ii, s, m = chains[q]
-                if ii < i and jj < j and s > score - 1 and (got := s - (max(i - ii, j - jj) - 1)) > score:
-                    score, n = got, m
-            new.append((j, i, score + 1, n + 1))
-            best = max(best, (score + 1, n + 1))
-        chains += new
-    return best[1] / len(passage), best[0] / len(passage)
-
-
-def found_batches(index: PassageIndex):
+def stretch_of(n: int) -> int:
+    """Words between the begins of two stretches for passages of n words, a power of two times STEP: a stretch holds
+    half of the words whole, with DOCUMENT_GAP between any two."""
+    step = STEP
+    while step < (DOCUMENT_GAP + 1) * -(-n // 2):
+        step *= 2
+    return step
+
+
+def indexes(ids: list[int], passages: list[str]) -> list[PassageIndex]:
+    """An index for each length of stretch, so that a long passage does not widen the stretches of the others."""
+    h, starts, _, _ = words(passages)
+    by = defaultdict(list)
+    for i, n in enumerate(np.diff(starts).tolist()):
+        if n:
+            by[stretch_of(n)].append(i)
+    return [PassageIndex([ids[i] for i in rows], [passages[i] for i in rows]) for _, rows in sorted(by.items())]
+
+
+def chained(places: dict[int, list[int]], stretch: list[int]) -> int:
+    """Most words of a passage that a stretch repeats in order, with no more than PASSAGE_GAP and DOCUMENT_GAP words
+    between two. places: where each word stands in the passage."""
+    best = 0
+    last: list[dict[int, int]] = [{}] * (DOCUMENT_GAP + 1)  # for the words just before: place in the passage -> words so far
+    for w in stretch:
+        now: dict[int, int] = {}
+        if w in places:
+            rows = [row for row in last if row]
+            for i in places[w]:
+                n = 0
+                for row in rows:
+                    for k in range(i - PASSAGE_GAP - 1, i):
+                        if k in row and row[k] > n:
+                            n = row[k]
+                now[i] = n + 1
+                if n >= best:
+                    best = n + 1
+        last = [*last[1:], now]
+    return best
+
+
+def found_batches(parts: list[PassageIndex]):
     """Arrow batches (doc_id, text) -> (doc_id, item_id, repeated) of documents that hold passages."""
 
     def run(batches):
@@ -165,17 +199,16 @@ def found_batches(index: PassageIndex):
             ids = b.column(0).to_pylist()
             for lo in range(0, len(texts), 1000):
                 h, starts, _, _ = words(texts[lo : lo + 1000])
-                grams, at = ngrams(h, starts, 2)
-                for t, i, first, last in index.retrieve(grams, at, starts):
-                    own = h[starts[t] : starts[t + 1]][first:last]
-                    lo_, hi_ = np.searchsorted(at, (starts[t] + first, starts[t] + last))
-                    if np.isin(index.grams[i], grams[lo_:hi_]).sum() < NET * len(index.words[i]) - 1:
-                        continue
-                    share, net = repeated(index.words[i], own)
-                    if share >= REPEATED and net >= NET:
+                grams, at = links(h, starts, DOCUMENT_GAP)
+                own = h.tolist()
+                for index in parts:
+                    for t, i, first, last in index.retrieve(grams, at, starts):
+                        n = chained(index.places[i], own[starts[t] + first : min(starts[t] + last, starts[t + 1])])
+                        if n < REPEATED * len(index.words[i]):
+                            continue
                         docs.append(ids[lo + t])
                         items.append(int(index.ids[i]))
-                        shares.append(round(share, 4))
+                        shares.append(round(n / len(index.words[i]), 4))
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(items, pa.int64()), pa.array(shares, pa.float64())], ["doc_id", "item_id", "repeated"])
 
     return run
@@ -184,21 +217,22 @@ def found_batches(index: PassageIndex):
 def leaks(documents: DataFrame, passages: DataFrame) -> DataFrame:
     """(doc_id, item_id, repeated) of every document that repeats half of a passage's words in one stretch.
 
-    The index holds SLICE passages at most; more passages take a further run over the documents each. Null, empty and
-    unspaced texts hold no passage; a passage of one word is never found.
+    An index holds SLICE passages at most; more passages take a further run over the documents each, whose rows are
+    written before the next index is made, so that the driver holds one. Null and empty texts hold no passage, and in
+    unspaced scripts a stretch between blanks is one word; a passage of one word is never found.
     """
     rows = passages.select("item_id", "passage").where("passage is not null").orderBy("item_id")
     out, ids, texts = None, [], []
 
     def search() -> DataFrame:
-        found = documents.select("doc_id", "text").where("text is not null").mapInArrow(found_batches(PassageIndex(ids, texts)), "doc_id bigint, item_id bigint, repeated double")
+        found = documents.select("doc_id", "text").where("text is not null").mapInArrow(found_batches(indexes(ids, texts)), "doc_id bigint, item_id bigint, repeated double")
         return found if out is None else out.unionAll(found)
 
     for r in rows.toLocalIterator():
+        if len(ids) == SLICE:
+            out, ids, texts = cut(search()), [], []
         ids.append(r.item_id)
         texts.append(r.passage)
-        if len(ids) == SLICE:
-            out, ids, texts = search(), [], []
     if ids or out is None:
         out = search()
     return out.groupBy("doc_id", "item_id").agg(F.max("repeated").alias("repeated"))

@@ -168,29 +168,45 @@ def test_blocks_of_equal_texts_meet():
     assert plain.shape == (3, crosssplit.BLOCKS) and probed.shape == (3, crosssplit.BLOCKS * 2**crosssplit.WEAK) and set(plain[0]) <= set(probed[1])
 
 
-def alignment(a, b):
-    """Smith-Waterman with 1 for a match and -1 for all else; best score and its matches."""
-    best, last = (0, 0), [(0, 0)] * (len(b) + 1)
-    for x in a:
-        row = [(0, 0)]
-        for j, y in enumerate(b, 1):
-            s, m = last[j - 1]
-            cell = (s + 1, m + 1) if x == y else max((s - 1, m), (last[j][0] - 1, last[j][1]), (row[j - 1][0] - 1, row[j - 1][1]))
-            row.append(cell if cell[0] > 0 else (0, 0))
-            best = max(best, row[-1])
-        last = row
-    return best
-
-
-def test_alignment_against_dynamic_programming():
-    import numpy as np
+def longest(a, b):
+    """Brute force: most words of a that b repeats in order with small gaps."""
+    rows = {}
+    for j, y in enumerate(b):
+        for i, x in enumerate(a):
+            if x == y:
+                rows[i, j] = 1 + max((rows.get((i - p, j - d), 0) for p in range(1, leak.PASSAGE_GAP + 2) for d in range(1, leak.DOCUMENT_GAP + 2)), default=0)
+    return max(rows.values(), default=0)
+
+
+def places_of(a):
+    return {x: [i for i, y in enumerate(a) if y == x] for x in a}
+
 
+def test_chains_against_brute_force():
     r = random.Random(3)
-    for _ in range(60):
+    for _ in range(100):
         a = [r.randrange(40) for _ in range(20)]
-        b = [r.randrange(40) for _ in range(30)] + [x if r.random() < 0.8 else r.randrange(40) for x in a] + [r.randrange(40) for _ in range(20)]
-        share, net = leak.repeated(np.array(a, np.uint64), np.array(b, np.uint64))
-        assert abs(net * 20 - alignment(a, b)[0]) < 1e-9 and share >= net
+        b = [r.randrange(40) for _ in range(30)] + [x if r.random() < 0.7 else r.randrange(40) for x in a] + [r.randrange(40) for _ in range(20)]
+        assert leak.chained(places_of(a), b) == longest(a, b)
+    assert leak.chained({}, [1]) == leak.chained(places_of([1]), []) == 0 and leak.chained(places_of([1, 2]), [1, 9, 9, 2]) == 2 and leak.chained(places_of([1, 2]), [1, 9, 9, 9, 2]) == 1
+
+
+@pytest.mark.parametrize("every", [2, 3])
+def test_leaks_with_every_second_or_third_word_changed(spark, every):
+    """The query finds just what brute force over all pairs finds, however the rest of the passage is written."""
+    r = random.Random(every)
+    vocabulary = [f"từ{i}" for i in range(60)]  # few words, so that other passages come near
+    items = {i: [r.choice(vocabulary) for _ in range(r.choice([6, 21, 40, 90]))] for i in range(40)}
+    docs = {}
+    for d in range(120):
+        p = items[r.randrange(40)]
+        part = [x if (k + 1) % every else ("khác" if d % 2 else "khác hẳn") for k, x in enumerate(p)]
+        if d % 3 == 0:  # half of the words only, each third one changed in between
+            part = part[: max(2, -(-len(p) * every // (2 * (every - 1))))]
+        docs[d] = " ".join([r.choice(vocabulary) for _ in range(r.randrange(60))] + part + [r.choice(vocabulary) for _ in range(r.randrange(60))])
+    got = leak.leaks(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string"), spark.createDataFrame([(i, " ".join(p)) for i, p in items.items()], "item_id bigint, passage string"))
+    want = {(d, i) for d, t in docs.items() for i, p in items.items() if longest(p, t.split()) * 2 >= len(p)}
+    assert {(x.doc_id, x.item_id) for x in got.collect()} == want and len(want) > 80
 
 
 def test_leaks(spark):
