@@ -122,11 +122,11 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of which at least 40 % of the words lie in repeated runs."""
-    return repetition.repetition(table(spark, sf_dir, "documents")).where(F.col("below_band") & (F.col("repeated_share") >= repetition.REPEATED)).select("doc_id").distinct()
+    return repetition.repeating(table(spark, sf_dir, "documents"))
 
 
 def p9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Own perplexity of every document and its share of repeated words."""
+    """Own perplexity of every document with its language's bands, and its share of repeated words."""
     return repetition.repetition(table(spark, sf_dir, "documents"))
 
 

@@ -124,13 +124,88 @@ def test_every_spaced_document_has_a_share(spark):
     assert got[901].repeated_share == got[902].repeated_share == 0 and got[903].repeated_share is None
 
 
+def bigrams_by_hand(texts):
+    """Modified Kneser-Ney bigrams, written plainly."""
+    bi = Counter(g for t in texts for g in zip(t, t[1:], strict=False))
+    uni = Counter(g[1] for g in bi)
+    d2, d1 = (repetition.discounts(*[sum(v == k for v in c.values()) for k in range(1, 5)]) for c in (bi, uni))
+    total, left = sum(uni.values()), sum(d1[min(n, 3) - 1] for n in uni.values())
+    p1 = {w: (n - d1[min(n, 3) - 1]) / total + left / total / len(uni) for w, n in uni.items()}
+    out = {}
+    for (a, b), n in bi.items():
+        mine = [m for h, m in bi.items() if h[0] == a]
+        out[a, b] = (n - d2[min(n, 3) - 1]) / sum(mine) + sum(d2[min(m, 3) - 1] for m in mine) / sum(mine) * p1[b]
+    return out
+
+
+def test_corpus_bigrams_against_plain_python(spark):
+    import numpy as np
+
+    r = random.Random(6)
+    texts = {x: [[r.choice("abcdefg") for _ in range(r.randrange(0, 30))] for _ in range(40)] for x in ("vi", "ko")}
+    rows = [(i, x, " ".join(t)) for x, ts in texts.items() for i, t in enumerate(ts)]
+    model = repetition.corpus_model(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))
+    for k, x in enumerate(("vi", "ko")):
+        want = bigrams_by_hand(texts[x])
+        h, _, _, _ = repetition.words([" ".join(g) for g in want])
+        got = model.probability(h[::2], h[1::2], np.full(len(want), k), ["vi", "ko"])
+        assert np.allclose(got, list(want.values()))
+
+
+def test_own_model_against_plain_python(spark):
+    """Bits of a document read word by word: runs seen before, on top of the corpus model."""
+    import numpy as np
+
+    r = random.Random(8)
+    text = [r.choice("ab") for _ in range(80)] + [r.choice("abcdefgh") for _ in range(60)]
+    docs = spark.createDataFrame([(1, "vi", " ".join(text))], "doc_id bigint, lang string, text string")
+    corpus, d = repetition.corpus_model(docs), (0.6, 1.2, 1.7)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["vi"]), pa.array([" ".join(text)])], ["doc_id", "lang", "text"])
+    row = next(repetition.score_batches({"vi": d}, corpus)(iter([batch]))).to_pylist()[0]
+    seen, bits, saved = Counter(), 0.0, 0.0
+    for i in range(4, len(text)):
+        h = tuple(text[i - 4 : i])
+        mine = {g: n for g, n in seen.items() if g[:4] == h}
+        x, _, _, _ = repetition.words([text[i - 1], text[i]])
+        low = float(corpus.probability(x[:1], x[1:], np.zeros(1, int), ["vi"])[0])
+        if mine:
+            low *= sum(d[min(n, 3) - 1] for n in mine.values()) / sum(mine.values())
+        n = seen[(*h, text[i])]
+        p = low + ((n - d[min(n, 3) - 1]) / sum(mine.values()) if n else 0)
+        bits, saved = bits - math.log2(p), saved + math.log2(p / low)
+        seen[(*h, text[i])] += 1
+    assert abs(row["bits"] - bits) < 1e-6 and abs(row["saved"] - saved) < 1e-6 and row["again"] == sum(n - 1 for n in seen.values() if n)
+
+
+def test_bands_decide_without_counting(spark):
+    """Below the lower band every document repeats enough, above the upper band none does; the found ones are brute force's."""
+    r = random.Random(12)
+    docs = {}
+    for d in range(300):
+        words = [f"w{r.randrange(2000)}" for _ in range(120)]
+        run = [f"r{r.randrange(900)}" for _ in range(r.choice([5, 8, 30]))]
+        for _ in range(d % 7 * r.randrange(0, 6)):
+            at = r.randrange(len(words))
+            words[at:at] = run
+        docs[d] = words
+    df = spark.createDataFrame([(d, " ".join(w), ("vi", "ko")[d % 2]) for d, w in docs.items()], "doc_id bigint, text string, lang string")
+    got = {x.doc_id: x for x in repetition.repetition(df).collect()}
+    below, above = [d for d in got if got[d].verdict == "below"], [d for d in got if got[d].verdict == "above"]
+    assert len(below) > 20 and len(above) > 40 and all(share_of(docs[d]) >= 0.4 for d in below) and all(share_of(docs[d]) < 0.4 for d in above)
+    assert all((got[d].self_perplexity <= got[d].lower_band + 1e-3) == (got[d].verdict == "below") for d in got if got[d].verdict == "below")
+    assert {x.doc_id for x in repetition.repeating(df).collect()} == {d for d, w in docs.items() if share_of(w) >= 0.4}
+
+
 def test_discounts():
     assert repetition.discounts(0, 0, 0, 0) == (0.9, 1.3, 1.6)
     d = repetition.discounts(1000, 100, 40, 20)
     y = 1000 / 1200
     assert abs(d[0] - (1 - 2 * y * 0.1)) < 1e-12 and abs(d[1] - 1.6) < 1e-12 or d[1] <= 1.6
     for counts in ((1000, 100, 40, 20), (5, 50, 50, 50), (1, 1, 1, 1), (0, 3, 0, 0), (10**9, 1, 1, 1)):
-        assert repetition.bits_saved(repetition.own_discounts(repetition.discounts(*counts))) > 0
+        d = repetition.own_discounts(repetition.discounts(*counts))
+        assert 0 < d[0] < 1 and 0 < d[1] < 2 and 0 < d[2] < 3
 
 
 def kneser_ney_by_hand(texts):
