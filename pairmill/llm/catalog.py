@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,15 @@ from . import canonical, crosssplit, formatdup, langid, leak, mixture, mojibake,
 from .fields import corpus_fields
 
 
+@lru_cache(8)
+def _trained(application: str, sf_dir: str) -> langid.Detector:
+    documents = table(SparkSession.getActiveSession(), sf_dir, "documents")
+    return langid.Detector(langid.train(langid.training_rows(documents)), langid.priors(documents))
+
+
 def _detector(spark: SparkSession, sf_dir: str) -> langid.Detector:
-    return langid.Detector(langid.train(langid.training_rows(table(spark, sf_dir, "documents"))))
+    """The detector of these documents, trained once in an application."""
+    return _trained(spark.sparkContext.applicationId, sf_dir)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Language of each text and of each segment of a mixed text, with a confidence.
 
 Texts are cut at sentence ends, line ends and separators; a segment's bytes go in windows of fixed length through a
-byte convolutional network, whose log probabilities add up over the segment. Scripts narrow the choice: a segment
-without a Hangul syllable isn't Korean. The network is trained on a bounded sample of labelled documents.
+byte convolutional network, whose log probabilities add up over the segment. Counts of letters only tell whether a segment
+has enough of them to be one; its language is the network's. The network is trained on a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ SPELLINGS = {
 }
 
 #: Bounds of the training sample: documents a label, characters of each, windows in all.
-DOCS_PER_LABEL, CHARS_PER_DOC, MAX_WINDOWS = 200, 3000, 14000
+DOCS_PER_LABEL, CHARS_PER_DOC, MAX_WINDOWS = 200, 3000, 20000
 #: Rows that training goes through at least, each row of the sample counted once an epoch.
-LEAST_ROWS = 84_000
+LEAST_ROWS = 120_000
 #: Least letters of a segment that counts: Latin, Cyrillic; Hangul, Han and kana. Least words of a Latin segment.
 LEAST_LATIN, LEAST_BLOCK, LEAST_WORDS = 14, 6, 4
 #: Letters up to which a Latin segment without a sentence's end is a heading.
@@ -148,8 +148,10 @@ def windows(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nda
 
 
 class Detector:
-    def __init__(self, net: Compiled):
-        self.net = net
+    """prior: log probability of each language before a text is read, from `priors`; without, all are as likely."""
+
+    def __init__(self, net: Compiled, prior: np.ndarray | None = None):
+        self.net, self.prior = net, np.zeros(len(LANGS), np.float32) if prior is None else prior
 
     @staticmethod
     def _evidence(b: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -167,20 +169,9 @@ class Detector:
             score[lo : lo + 20000] = np.add.reduceat(self.net.log_probabilities(rows), np.flatnonzero(np.r_[True, own[1:] != own[:-1]]), axis=0)
         return score
 
-    @staticmethod
-    def _decide(score, r, vn, k, h, n, y) -> tuple[np.ndarray, np.ndarray]:
-        """Language number and its probability: scores, narrowed by the counts of Latin, Vietnamese, Hangul, Han, kana and Cyrillic."""
-        block = np.maximum.reduce([k * 3, (h + n) * 3, y * 2])
-        is_roman = r > block
-        ok = np.zeros(score.shape, bool)
-        ok[:, 0] = ~is_roman & (k >= h + n) & (k * 3 >= y * 2)
-        ok[:, [1, 2, 5, 6]] = is_roman[:, None]
-        east = ~is_roman & (h + n > k) & ((h + n) * 3 >= y * 2)
-        ok[:, 3] = east & (n * 6 < h)
-        ok[:, 4] = east & (n >= 1)
-        ok[:, 7] = ~is_roman & ~ok[:, 0] & ~east
-        score[~ok] -= 60
-        score[:, 1] += np.where(is_roman & (vn >= 2) & (vn * 20 >= r), 12, 0)
+    def _decide(self, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Language number and its probability."""
+        score = score + self.prior
         score -= score.max(1, keepdims=True)
         prob = np.exp(score)
         prob /= prob.sum(1, keepdims=True)
@@ -206,7 +197,7 @@ class Detector:
         sure = np.zeros(len(starts), np.float32)
         at = np.flatnonzero(counts)
         if len(at):
-            best, conf = self._decide(self._scores(b, starts[at], ends[at]), roman[at], viet[at], ko[at], han[at], kana[at], cyr[at])
+            best, conf = self._decide(self._scores(b, starts[at], ends[at]))
             lang[at] = np.where(conf >= SURE, best, -1)
             sure[at] = conf
         return owner, starts, ends, lang, sure, b, offsets
@@ -225,8 +216,7 @@ class Detector:
         if left.any():
             text, first = np.unique(owner[left], return_index=True)
             kinds = [np.add.reduceat(x[left], first) for x in self._evidence(b, starts)]
-            latin, viet, l1, ko, han, kana, cyr = kinds
-            some, p = self._decide(np.add.reduceat(self._scores(b, starts[left], ends[left]), first, axis=0), latin + viet + l1, viet, ko, han, kana, cyr)
+            some, p = self._decide(np.add.reduceat(self._scores(b, starts[left], ends[left]), first, axis=0))
             best[text], conf[text] = some, np.where(sum(kinds) > 0, p, 0)
         return np.where(conf > 0, best, -1), conf
 
@@ -236,11 +226,11 @@ class Detector:
         out = np.zeros(len(texts), np.int32)
         good = lang >= 0
         np.bitwise_or.at(out, owner[good], (1 << lang[good].astype(np.int32)))
-        # a text too short for segments still shows its script
+        # a text too short for segments goes to the network as a whole, if most of its letters are of one script
         left = np.flatnonzero((out == 0) & (np.diff(offsets) > 0))
         if len(left):
-            spans = offsets[left]
-            sizes = offsets[left + 1] - spans
+            spans, stops = offsets[left], offsets[left + 1]
+            sizes = stops - spans
             idx = np.repeat(spans - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
             first = np.r_[0, np.cumsum(sizes)[:-1]]
             kind = _kinds(b[idx])
@@ -248,9 +238,10 @@ class Detector:
             latin, viet, other = (np.add.reduceat(_KIND[:, 0][kind] >> at & 1, first) for at in (0, 21, 42))
             ko, han, kana, cyr = (np.add.reduceat(_KIND[:, 1][kind] >> at & 1, first) for at in (0, 16, 32, 48))
             roman = latin + viet + other
-            pick = np.where((ko >= 4) & (ko * 2 >= roman), 0, np.where((viet >= 2) & (roman >= 10) & (ko == 0), 1, np.where((kana >= 2) & (han + kana >= 4) & (ko == 0), 4, np.where((han >= 4) & (ko == 0), 3, np.where(cyr >= 8, 7, -1)))))
-            hit = pick >= 0
-            out[left[hit]] = 1 << pick[hit]
+            enough = np.flatnonzero((ko >= 4) & (ko * 2 >= roman) | (ko == 0) & ((viet >= 2) & (roman >= 10) | (han + kana >= 4)) | (cyr >= 8))
+            if len(enough):
+                best, conf = self._decide(self._scores(b, spans[enough], stops[enough]))
+                out[left[enough]] = np.where(conf >= SURE, 1 << best, 0)
         return out
 
 
@@ -264,11 +255,10 @@ def train(labelled: list[tuple[str, str]], epochs: int = 6) -> Compiled:
     scripts = {"ko": (0xEA, 0xED), "zh": (0xE4, 0xE9), "ja": (0xE3, 0xE3), "ru": (0xD0, 0xD1)}
     xs: dict[int, list[np.ndarray]] = {}
     for lang, text in labelled:
-        variants = [text]
-        if lang == "vi":
-            variants = [text, _strip(text), unicodedata.normalize("NFD", text)] if r.random() < 0.5 else [text, _strip(text)]
-        if r.random() < 0.3:
-            variants.append(variants[r.integers(len(variants))].upper())
+        # forms a text comes in, each with its chance: without accents, decomposed, in capitals
+        plain = _strip(text) if lang == "vi" else text
+        forms = [(text, 1.0), (plain, float(lang == "vi")), (unicodedata.normalize("NFD", text), 0.4 * (lang in ("vi", "ko"))), (text.upper(), 1.0 if lang == "vi" else 0.3), (plain.upper(), 0.3 * (lang == "vi"))]
+        variants = [t for t, chance in forms if r.random() < chance]
         for t in variants:
             b, offsets = flat(pa.array([t]))
             if not len(b):
@@ -279,10 +269,11 @@ def train(labelled: list[tuple[str, str]], epochs: int = 6) -> Compiled:
             if not keep.any():
                 continue
             rows, _ = windows(b, starts[keep], ends[keep])
-            share = {k: ((rows >= lo) & (rows <= hi)).mean(1) for k, (lo, hi) in scripts.items()}
+            letters = _kinds(rows.ravel()).reshape(rows.shape)
+            share = {k: ((letters >= lo) & (letters <= hi)).mean(1) for k, (lo, hi) in scripts.items()}
             fits = share[lang] > 0.1 if lang in scripts else np.maximum.reduce(list(share.values())) < 0.05
             xs.setdefault(LANGS.index(lang), []).append(rows[fits])
-    if not xs:  # nothing to learn from: scripts alone decide, and no Latin text is told from another
+    if not xs:  # nothing to learn from: every language is as likely
         net = ByteCNN(len(LANGS))
         net.out[:] = 0
         return Compiled(net)
@@ -318,6 +309,15 @@ def training_rows(documents: DataFrame) -> list[tuple[str, str]]:
     return [(r.l, r.t) for r in rows]
 
 
+def priors(documents: DataFrame) -> np.ndarray:
+    """Log share of each language among the labels of all documents, every language counted once more."""
+    rows = documents.groupBy(label_language(F.col("lang")).alias("l")).count().where("l is not null").collect()  # a row per language
+    n = np.ones(len(LANGS))
+    for r in rows:
+        n[LANGS.index(r.l)] += r["count"]
+    return np.log(n / n.sum()).astype(np.float32)
+
+
 def found_batches(detector: Detector):
     """Arrow batches (rec_table, rec_id, field, expected, text) -> a row per language of each case. `expected` is the
     language the field or label claims, null for none; documents count mixed texts, too."""
