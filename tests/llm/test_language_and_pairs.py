@@ -113,6 +113,49 @@ def test_filter_before_parsing_keeps_every_defect(spark):
     assert {i for i, (_, _, w) in enumerate(PAIRS) if w} <= parsed and 0 not in parsed
 
 
+def test_parser_decides_what_breaks_off():
+    whole = "1. Đêm qua (thứ hai), thầy đã đọc.\n2. “Sách đâu?”, em hỏi.\n```\nx = (1\n```\n<b>Hết.</b>"
+    assert D.unfinished(whole) == "" and D.complete(whole) and D.unfinished("") == "" and not D.complete("")
+    cut = {"Đêm qua (thứ hai, thầy đã đọc.": "(", "Thầy đọc.\n```\nx = 1.": "```", "Thầy đọc. <b>Hết.": "<b", "Thầy nói: “Em đọc.": "“", "Thầy nói: \"Em đọc.": '"', "Thầy đọc. Em": "sentence", "Thầy đọc…": "dots", "Thầy hỏi: “Đâu rồi?”…": "dots", "Thầy đọc (ở nhà)": "sentence", "[Thầy đọc": "sentence", "Số 8.066": "sentence"}
+    for text, what in cut.items():
+        assert D.unfinished(text) == what, text
+        assert D.defects([K], [text]) == ["truncated"], text
+    for text in ("Thầy đọc 8.066 trang.", "Thầy hỏi: “Đâu rồi?”", "Thầy đọc sách. (Em cũng đọc.)", "Thầy đọc <i>sách</i> it’s :( rồi!", "- Thầy đọc.\n- Em đọc.", "‘Thầy’ là gì?", "Mã là:\n```\nx = (1\n```", "Gọi `f(x` nhé."):
+        assert D.unfinished(text) == "" and D.defects([K], [text]) == [None], text
+    # a prompt that leaves a frame open itself, or no sentence to end, says nothing about its answer
+    assert D.defects(["“" + K, "새로운 책 목록"], ["“" + V, "Danh sách"]) == [None, None]
+
+
+def test_refusals_are_composed():
+    said = ["Xin lỗi, tôi không thể giúp bạn việc này.", "Rất tiếc, tôi không thể làm điều đó.", "I can't help with that.", "As an AI language model, I cannot do this.", "I'm sorry, but I am unable to help you with this.", "그 부분은 도와드릴 수 없습니다."]
+    said += [f"{who} {no} {act} {what}." for who in ("Tôi", "Xin lỗi, chúng tôi") for no in ("không thể", "không được phép") for act in ("dịch", "hỗ trợ dịch", "thực hiện việc cung cấp bản dịch") for what in ("nội dung này", "về đoạn văn này", "cho yêu cầu đó")]
+    said += [f"I {no} {act} {what}." for no in ("cannot", "am not able to", "must decline to") for act in ("translate", "process") for what in ("this sentence", "the passage above, which is a text")]
+    assert D.defects([K] * len(said), said) == ["refusal"] * len(said)
+    # a translated "cannot" is none
+    own = ["죄송하지만 저는 이 일을 도와드릴 수 없습니다.", "죄송하지만 이 지점에서는 책을 살 수 없습니다."]
+    assert D.defects(own, ["Xin lỗi, tôi không thể giúp bạn việc này.", "Xin lỗi, chi nhánh này không thể bán sách."]) == [None, None]
+
+
+def test_every_refusal_meets_the_hint(spark):
+    """The Java condition lets every response through that the grammar takes, in any case and with unseen characters."""
+    from pyspark.sql import functions as F
+
+    no, act = D._VI_UNABLE[3:-1].split("|"), ["dịch", "giúp bạn dịch", "xử lý", "cung cấp bản dịch", "thực hiện việc trả lời"]
+    said = [f"Thưa bạn, {n} {a} {o}." for n in no for a in act for o in ("nội dung này", "về câu trên", "cho yêu cầu đã gửi", "văn bản này", "với bài đó")]
+    said += [f"Thưa bạn, tôi {n} {h} {t}." for n in no for h in ("giúp bạn", "làm", "đáp ứng") for t in ("việc này", "điều đó", "chuyện ấy")]
+    said = [t for t in said if D.REFUSAL.search(t) or D.LOOSE.search(t)]
+    assert len(said) > 200
+    rows = [(K, f) for t in said for f in (t, t.upper(), t.replace("ông", "\u200bông"))]
+    df = spark.createDataFrame(rows, "p string, r string")
+    assert df.where(D.needs_parsing(F.col("p"), F.col("r"))).count() == len(rows)
+
+
+def test_copies_with_edits():
+    long = K + " " + "그리고 내일은 학교에서 친구와 함께 오래된 책을 정리할 예정입니다."
+    assert D.tiled(long, long) == 1.0 and D.tiled(long, long[:20] + "X" + long[20:]) > 0.9 and D.tiled(long, V) == 0.0
+    assert D.defects([long, long], [long[:30] + "가" + long[31:], "“" + long.replace(" ", "\n") + "”"]) == ["copied", "copied"]
+
+
 def test_pushdown_parser():
     assert D.open_frames('“a (b) [c” d') == [] and D.open_frames("“a (b") == ["“", "("] and D.open_frames("```x(") == ["```"] and D.open_frames("`a` <b>x</b> <i>y") == ["<i"]
     assert D.open_frames("it’s :( fine") == [] and D.open_frames("a\n- ") == ["item"] and D.open_frames("") == []
