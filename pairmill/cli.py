@@ -1,4 +1,4 @@
-"""Command line: filter, sweep, split, review, analyse and compare pairs and results in files."""
+"""Command line: check, filter, sweep, split, review, translate, analyse and compare pairs and results in files."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.operators import compare, dedup, metrics, providers, review, rules, sampling, semantic, stats
+from pairmill.plans.runtime import cut
 from pairmill.sources import html, jsonl, results
 
 
@@ -37,8 +38,7 @@ def _scored(rows: DataFrame, a: argparse.Namespace) -> DataFrame:
     if a.similarity:
         return rows.withColumn("similarity", F.try_variant_get(F.try_parse_json("raw"), f"$.{a.similarity}", "double"))
     if a.provider:
-        module, _, name = a.provider.partition(":")
-        load = getattr(importlib.import_module(module), name)()
+        load = _named(a.provider)
     elif a.mode == "semantic":
         raise SystemExit("--mode semantic takes its similarities from --similarity FIELD or --provider MODULE:FUNCTION")
     else:
@@ -47,19 +47,92 @@ def _scored(rows: DataFrame, a: argparse.Namespace) -> DataFrame:
     return semantic.with_similarity(providers.provide(rows, "src_vec array<float>, tgt_vec array<float>", load), "src_vec", "tgt_vec").drop("src_vec", "tgt_vec")
 
 
+def _named(provider: str):
+    """Loader of a model by MODULE:FUNCTION; the function takes no arguments."""
+    module, _, name = provider.partition(":")
+    return getattr(importlib.import_module(module), name)()
+
+
 def _split(spark: SparkSession, a: argparse.Namespace) -> None:
     jsonl.write_splits(sampling.split(jsonl.read_lines(spark, a.input), "ordinal", a.seed), a.output)
 
 
 def _review(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.compare:
+        _review_thresholds(spark, a)
+        return
+    if not a.input:
+        raise SystemExit("review takes --input FILE, or --compare with --filtered-dir and --thresholds")
     rows = jsonl.pairs(jsonl.read_lines(spark, a.input))
     html.review_page(sampling.sample(rows, a.num_samples, "pair_id"), a.output)
 
 
+def _review_thresholds(spark: SparkSession, a: argparse.Namespace) -> None:
+    """A sample of what each threshold kept, side by side; thresholds without a file are left out."""
+    parts = []
+    for t in sorted(a.thresholds):
+        path = f"{a.filtered_dir}/semantic_{int(t * 100)}.jsonl"
+        if not jsonl.exists(spark, path):
+            print(f"no {path}", file=sys.stderr)
+            continue
+        rows = jsonl.pairs(jsonl.read_lines(spark, path)).withColumn("threshold", F.lit(float(t)))
+        # the pages of two thresholds number their pairs alike, so the threshold goes before
+        parts.append(sampling.first_of_each(rows, "threshold", a.num_samples, "pair_id").withColumn("pair_id", F.concat(F.format_string("%.2f-", "threshold"), F.col("pair_id").cast("string"))))
+    if not parts:
+        raise SystemExit(f"no filtered pairs in {a.filtered_dir}")
+    shown = parts[0]
+    for p in parts[1:]:
+        shown = shown.unionAll(p)
+    html.threshold_page(shown.select("pair_id", "src", "tgt", "threshold", "rank"), a.output, shown=a.shown)
+
+
+def _check(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Lines that hold no pair, by problem; ends with 1 if there are any."""
+    found = jsonl.problems(jsonl.read_lines(spark, a.input), a.first or None).groupBy("problem").agg(F.count("*").alias("lines"), F.min("ordinal").alias("first")).orderBy("problem").collect()  # a row per kind of problem
+    for r in found:
+        print(f"{r.problem}: {r.lines} lines, the first is {r.first}")
+    if found:
+        raise SystemExit(1)
+    print("every line holds a pair")
+
+
+def _config(spark: SparkSession, a: argparse.Namespace) -> None:
+    for t in a.thresholds:
+        results.write_config(results.run_config(t, a.base, a.max_steps), f"{a.output_dir}/sweep_config_{int(t * 100)}.yaml")
+
+
+def _best(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Results of a sweep's runs, the last of each threshold, and the threshold of the highest BLEU."""
+    runs = results.read_results(spark, a.results).withColumn("run_id", F.monotonically_increasing_id())
+    label = F.try_to_number(F.regexp_extract("test_file", r"semantic_(\d+)", 1), F.lit("999")).cast("double") / 100.0
+    rows = compare.sweep_table(runs, label)
+    rows.orderBy("threshold").show()
+    best = compare.best(rows)
+    best.show()
+    if a.output:
+        found = best.first()
+        results.write_document({"results": {str(d["threshold"]): d for d in results.as_dicts(rows)}, "best_threshold": found.best_threshold, "best_bleu": found.best_bleu}, a.output)
+
+
+def _infer(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Translations of a named provider over keyed pairs, scored; a result as `analyse` and `compare` read it."""
+    pairs = jsonl.pairs(jsonl.read_lines(spark, a.input)).where("src is not null and tgt is not null")
+    pairs = pairs.where(F.col("pair_id") < a.max_samples) if a.max_samples else pairs
+    rows = pairs.select(F.lit(0).alias("run_id"), F.col("pair_id").alias("sample_no"), F.col("src").alias("source"), F.col("tgt").alias("reference"))
+    done = cut(providers.provide(rows, "prediction string", _named(a.provider)))
+    scores = metrics.all_metrics(done, ["run_id"]).first()
+    shown = done.orderBy("sample_no").limit(a.num_examples).select("source", "reference", "prediction").collect()
+    bleu = {"score": scores.bleu, "precisions": [scores.p1, scores.p2, scores.p3, scores.p4]}
+    document = {"model": a.model, "test_file": a.input, "test_size": done.count(), "metrics": {"bleu": bleu, "chrf": scores.chrf, "ter": scores.ter}, "samples": [r.asDict() for r in shown]}
+    results.write_document(document, a.output or results.default_name(a.model))
+
+
 def _analyse(spark: SparkSession, a: argparse.Namespace) -> None:
     runs = results.read_results(spark, a.finetuned).withColumn("run_id", F.lit(2))
     rows = review.banded(review.samples(runs, "run_id", first=a.num_examples))
-    review.band_counts(rows, ["run_id"], a.num_examples if a.denominator == "requested" else None).show()
+    bands = review.band_counts(rows, ["run_id"], a.num_examples if a.denominator == "requested" else None)
+    bands.show()
+    review.recommendations(bands, runs).show(truncate=False)
     review.reference_issues(rows, "run_id").groupBy("issue").count().show()
     if a.baseline:
         base = results.read_results(spark, a.baseline)
@@ -112,7 +185,23 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--threshold", type=float, default=0.70)
     f.add_argument("--thresholds", type=float, nargs="+", default=list(semantic.THRESHOLDS))
     command("split", _split, "input", "output").add_argument("--seed", type=int, default=42)
-    command("review", _review, "input", "output").add_argument("--num-samples", type=int, default=50)
+    r = command("review", _review, "output")
+    r.add_argument("--input")
+    r.add_argument("--num-samples", type=int, default=200)
+    r.add_argument("--compare", action="store_true", help="samples of what each threshold kept instead of one file")
+    r.add_argument("--thresholds", type=float, nargs="+", default=list(semantic.THRESHOLDS))
+    r.add_argument("--filtered-dir", default="data/sweep")
+    r.add_argument("--shown", type=int, default=10, help="pairs of each threshold on the page")
+    command("check", _check, "input").add_argument("--first", type=int, default=0, help="lines to look at; 0 for all")
+    g = command("config", _config, "output-dir")
+    g.add_argument("--thresholds", type=float, nargs="+", default=list(semantic.THRESHOLDS))
+    g.add_argument("--base", default=".")
+    g.add_argument("--max-steps", type=int, default=5000)
+    command("best", _best, "results").add_argument("--output")
+    i = command("infer", _infer, "input", "provider", "model")
+    i.add_argument("--output")
+    i.add_argument("--max-samples", type=int, default=0, help="pairs to translate; 0 for all")
+    i.add_argument("--num-examples", type=int, default=10)
     a = command("analyse", _analyse, "finetuned")
     a.add_argument("--baseline")
     a.add_argument("--num-examples", type=int, default=100)

@@ -12,6 +12,7 @@ WORD = f"[^{WS[1:]}+"
 BOILERPLATE = (r"\[.*?\]", r"\(.*?\)", r"♪+", r"www\.", r"http[s]?://", r"subscribe", r"episode \p{Nd}+", rf"^{WS}*[A-Z]:{WS}*", r"^\p{Nd}{1,2}:\p{Nd}{2}", rf"^-+{WS}*$")
 USELESS = ("ㅋㅋ", "ㅎㅎ", "응", "아", "예", "네", "ờ", "ừ", "à", "ô")
 LITERAL_MARKERS = ("các", "những", "một", "cái", "này", "đó")
+# Language codes of the two fields.
 LANGUAGE_CODES = {"kor_Hang": "ko", "vie_Latn": "vi"}
 
 HANGUL = "[ᄀ-ᇿ㄰-㆏가-힣]"

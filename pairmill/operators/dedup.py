@@ -17,6 +17,10 @@ from pairmill.plans.runtime import cut
 
 #: 128 permutations in 8 bands of 16: the split with the least error for a Jaccard threshold of 0.85.
 PERMUTATIONS, BANDS = 128, 8
+#: Rows of a bucket that one task takes at least, and hot buckets at most, which are broadcast: larger buckets are dealt out.
+HOT_ROWS, HOT_BUCKETS = 100_000, 10_000
+#: Words up to which sets meet by pairs of words.
+PAIRED = 60
 
 
 def exact_groups(rows: DataFrame, key: str = "pair_id", text: str = "text") -> DataFrame:
@@ -72,29 +76,41 @@ def independent(buckets: DataFrame) -> DataFrame:
     """(id, kept): the lexicographically first independent set of rows under "shares a bucket", from (id, band, bucket) rows.
 
     Each round keeps the rows that are the least open ones of all their buckets and drops the others of these buckets.
-    The least open row of all is always kept, so the rounds end; each is two aggregations and two joins on the open rows.
+    The least open row of all is always kept, so the rounds end. A round aggregates the open rows by bucket, partly before
+    the shuffle, counts the buckets each least row has to itself, and joins open rows with the buckets taken, of which those
+    of many rows are dealt out. What is settled is written as one table.
     """
     spark = buckets.sparkSession
-    open_ = cut(buckets)
-    kept, dropped = [], []
-    while True:
-        least = open_.groupBy("band", "bucket").agg(F.min("id").alias("least"), F.count("*").alias("n"))
-        seen = open_.join(least, ["band", "bucket"]).groupBy("id").agg(F.min(F.col("id") == F.col("least")).alias("first"), F.max("n").alias("n"))
-        winners = cut(seen.where("first").select("id"))
-        if winners.isEmpty():
-            break
-        kept.append(winners)
-        taken = open_.join(winners, "id", "left_semi").select("band", "bucket").distinct()
-        losers = cut(open_.join(taken, ["band", "bucket"], "left_semi").select("id").distinct().join(winners, "id", "left_anti"))
-        dropped.append(losers)
-        open_ = cut(open_.join(winners.unionAll(losers), "id", "left_anti"))
-        if open_.isEmpty():
-            break
-    out = spark.createDataFrame([], buckets.select("id").schema).withColumn("kept", F.lit(True))
-    for parts, flag in ((kept, True), (dropped, False)):
-        for df in parts:
-            out = out.unionAll(df.withColumn("kept", F.lit(flag)))
-    return out
+    open_ = cut(buckets.distinct())
+    bands_of = open_.groupBy("id").agg(F.count("*").alias("of"))
+    settled = cut(spark.createDataFrame([], buckets.select("id").schema).withColumn("kept", F.lit(True)))
+    # as every row of a MinHash has a bucket in each band, no row needs to be asked for its number of buckets
+    most = bands_of.agg(F.max("of")).first()[0] or 0
+    alike = bands_of.where(F.col("of") != most).isEmpty()
+    while not open_.isEmpty():
+        least = cut(open_.groupBy("band", "bucket").agg(F.min("id").alias("id"), F.count("*").alias("n")))
+        first = least.groupBy("id").agg(F.count("*").alias("mine"))
+        first = first.where(F.col("mine") == most) if alike else first.join(bands_of, "id").where(F.col("mine") == F.col("of"))
+        winners = cut(first.select("id"))
+        # buckets of winners: the winner is the least row of each
+        taken = least.join(winners, "id", "left_semi").where("n > 1")
+        losers = _members(open_, taken, least).join(winners, "id", "left_anti")
+        new = cut(winners.withColumn("kept", F.lit(True)).unionAll(losers.withColumn("kept", F.lit(False))))
+        settled = cut(settled.unionAll(new))
+        open_ = cut(open_.join(new, "id", "left_anti"))
+    return settled
+
+
+def _members(open_: DataFrame, taken: DataFrame, sized: DataFrame) -> DataFrame:
+    """id of every row of the buckets taken (band, bucket, n). Buckets of more than HOT_ROWS rows, or more than 1 / HOT_BUCKETS
+    of all rows, are dealt out over several tasks."""
+    limit = max(HOT_ROWS, (sized.agg(F.sum("n")).first()[0] or 0) // HOT_BUCKETS)
+    hot = taken.where(F.col("n") > limit).select("band", "bucket", F.ceil(F.col("n") / limit).cast("int").alias("parts"))
+    if hot.isEmpty():
+        return open_.join(taken.select("band", "bucket"), ["band", "bucket"], "left_semi").select("id").distinct()
+    dealt = open_.join(F.broadcast(hot), ["band", "bucket"], "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
+    parts = taken.select("band", "bucket", F.explode(F.sequence(F.lit(0), F.when(F.col("n") > limit, F.ceil(F.col("n") / limit) - 1).otherwise(0).cast("int"))).alias("part"))
+    return dealt.join(parts, ["band", "bucket", "part"], "left_semi").select("id").distinct()
 
 
 def near_duplicates(rows: DataFrame, key: str = "pair_id", text: str = "text") -> DataFrame:
@@ -110,18 +126,28 @@ def jaccard_pairs(rows: DataFrame, key: str = "pair_id", text: str = "text", thr
     """(members, pairs): texts of equal word sets as classes (key, class, the class's first key), and all pairs of classes
     whose word sets have a Jaccard similarity of at least the threshold.
 
-    Exact: word sets that similar share one of the rarest words of each, n - ceil(threshold * n) + 1 of them, and the
-    candidates found by that are counted word by word.
+    Exact: word sets that similar share k of the n - ceil(threshold * n) + k rarest words of each. Sets of up to PAIRED words
+    meet by pairs of these words (k = 2), so that no single word, however common, makes a group; longer ones by single words
+    (k = 1), of which they have rare ones. The candidates found by that are counted word by word. Sets of one word are equal or
+    have nothing in common; a threshold of at most a half would let sets of two words share one.
     """
+    if not 0.5 < threshold <= 1:
+        raise ValueError("threshold must be above 0.5")
     sets = rows.where(F.col(text).isNotNull()).select(key, F.array_sort(F.array_distinct(T.words(T.normalized(F.col(text))))).alias("w")).where("size(w) > 0")
     members = cut(sets.select(key, F.md5(F.array_join("w", " ")).alias("d"), "w"))
     classes = cut(members.groupBy("d").agg(F.min(key).alias("class"), F.first("w").alias("w")).select("class", "w"))
     frequency = classes.select(F.explode("w").alias("x")).groupBy("x").agg(F.count("*").alias("f"))
     ranked = classes.select("class", F.explode("w").alias("x")).join(frequency, "x").groupBy("class").agg(F.array_sort(F.collect_list(F.struct("f", "x"))).alias("r"))
     n = F.size("r")
-    prefix = ranked.select("class", n.alias("n"), F.explode(F.slice("r", F.lit(1), n - F.ceil(n * threshold).cast("int") + 1)).alias("p")).select("class", "n", F.col("p.x").alias("x"))
+    least = F.ceil(F.round(n * threshold, 9)).cast("int")
+    first_of = lambda k: F.transform(F.slice("r", F.lit(1), n - least + k), lambda p: p["x"])
+    two = F.flatten(F.transform(first_of(2), lambda u, i: F.transform(F.slice(first_of(2), i + 2, n), lambda v: F.struct(u.alias("u"), v.alias("v")))))
+    one = F.transform(first_of(1), lambda u: F.struct(u.alias("u"), F.lit("").alias("v")))
+    none = F.slice(one, 1, 0)
+    keys = F.concat(F.when((n > 1) & (n <= PAIRED), two).otherwise(none), F.when(n > PAIRED * threshold, one).otherwise(none))
+    prefix = ranked.select("class", n.alias("n"), F.explode(keys).alias("x"))
     a, b = prefix.select(F.col("class").alias("a"), F.col("n").alias("na"), "x"), prefix.select(F.col("class").alias("b"), F.col("n").alias("nb"), "x")
-    near = a.join(b, "x").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold)).select("a", "b").distinct()
+    near = a.join(b, "x").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.round(F.greatest("na", "nb") * threshold, 9))).select("a", "b").distinct()
     wa, wb = classes.select(F.col("class").alias("a"), F.col("w").alias("wa")), classes.select(F.col("class").alias("b"), F.col("w").alias("wb"))
     common = F.size(F.array_intersect("wa", "wb"))
     pairs = near.join(wa, "a").join(wb, "b").select("a", "b", (common / (F.size("wa") + F.size("wb") - common)).alias("jaccard")).where(F.col("jaccard") >= threshold)

@@ -28,6 +28,11 @@ def echo() -> Callable[[pd.DataFrame], pd.DataFrame]:
     return lambda b: pd.DataFrame({"prediction": b["source"]})
 
 
+def echo_loader() -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
+    """Loader of `echo`, by which a command names it."""
+    return echo
+
+
 def hashed_vectors(dimensions: int = 64) -> Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]:
     """Encoder for tests: character trigrams hashed into a vector, the same for equal texts."""
     import zlib

@@ -63,11 +63,15 @@ def flags(pairs: DataFrame, src: str = "src", tgt: str = "tgt", config: FilterCo
 
 def full_verdict(pairs: DataFrame, config: FilterConfig = FilterConfig(), key: str = "pair_id") -> DataFrame:
     """(key, keep, reason) by all rules, near duplicates among the pairs that passed the others included."""
+    from pairmill.plans.runtime import cut
+
     from .dedup import near_duplicates
 
     first = verdict(pairs, config=config).select(key, "src", "reason")
     if not config.use_near_dedup:
         return first.select(key, (F.col("reason") == "passed").alias("keep"), "reason")
+    # the rules run once: their verdicts are read several times from here on, with the text only where it goes on
+    first = cut(first.withColumn("src", F.when(F.col("reason") == "passed", F.col("src"))))
     dropped = near_duplicates(first.where("reason = 'passed'").select(key, F.col("src").alias("text")), key).where("not kept").select(key, F.lit(True).alias("near"))
     reason = F.when(F.col("near"), "near_duplicate").otherwise(F.col("reason"))
     return first.join(dropped, key, "left").select(key, (reason == "passed").alias("keep"), reason.alias("reason"))

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pairmill.plans.runtime import cut
-
 
 def shuffled(key: str, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
@@ -29,21 +27,21 @@ def first_of_each(rows: DataFrame, group: str, n: int, key: str, seed: int = 42)
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def ranked(rows: DataFrame, key: str, seed: int = 42, digits: int = 4) -> DataFrame:
+def ranked(rows: DataFrame, key: str, seed: int = 42, digits: int = 4, total: bool = False) -> DataFrame:
     """Adds `rank`, 1 to N, by shuffled order of a unique key, without bringing all rows into one task: rows are ranked
     inside buckets of the digest's first digits, after the rows of the buckets before. There are 16 ** digits buckets at
-    most, which bounds what is broadcast."""
+    most, which bounds what is broadcast. With `total`, `_all` holds N."""
     keyed = rows.withColumn("_order", shuffled(key, seed)).withColumn("_bucket", F.substring("_order", 1, digits))
     sizes = keyed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # over one row per bucket
-    sizes = sizes.select("_bucket", before.alias("_before"))
+    sizes = sizes.select("_bucket", before.alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
     inside = F.row_number().over(Window.partitionBy("_bucket").orderBy("_order", key))
-    return keyed.join(F.broadcast(sizes), "_bucket").withColumn("rank", F.col("_before") + inside).drop("_order", "_bucket", "_before")
+    return keyed.join(F.broadcast(sizes), "_bucket").withColumn("rank", F.col("_before") + inside).drop("_order", "_bucket", "_before", *[] if total else ["_all"])
 
 
 def split(rows: DataFrame, key: str, seed: int = 42, train: float = 0.95, dev: float = 0.025) -> DataFrame:
     """Adds `split`: int(train * N) rows train, int(dev * N) dev, the rest test. Sizes are exact, splits disjoint."""
-    numbered = cut(ranked(rows, key, seed))
-    n = numbered.count()
-    a, b = int(train * n), int(train * n) + int(dev * n)
-    return numbered.withColumn("split", F.when(F.col("rank") <= a, "train").when(F.col("rank") <= b, "dev").otherwise("test")).drop("rank")
+    n = F.col("_all")
+    a, b = F.floor(n * F.lit(float(train))), F.floor(n * F.lit(float(dev)))
+    named = F.when(F.col("rank") <= a, "train").when(F.col("rank") <= a + b, "dev").otherwise("test")
+    return ranked(rows, key, seed, total=True).withColumn("split", named).drop("rank", "_all")

@@ -6,13 +6,15 @@ count once where it looks at pairs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.functions import text as T
 from pairmill.operators import compare, dedup, metrics, review, rules, sampling, semantic, stats
-from pairmill.plans.runtime import table
-from pairmill.sources import html, jsonl
+from pairmill.plans.runtime import cut, shared_dir, table
+from pairmill.sources import html, jsonl, results
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -180,9 +182,9 @@ def result_naming(spark, sf):
     return table(spark, sf, "eval_results").select("run_id", T.result_name(F.col("model")).alias("file"))
 
 
-@query("SELECT vec_id, list_sum(list_transform(embedding[1:16], lambda x: least(greatest(CASE WHEN trunc(x * 100) = -100 THEN 1 ELSE trunc(x * 100)::INT END, 0), 15)))::BIGINT AS total FROM embeddings")
+@query("SELECT vec_id, list_sum(list_transform(embedding, lambda x: least(greatest(CASE WHEN trunc(x * 100) = -100 THEN 1 ELSE trunc(x * 100)::INT END, 0), 15)))::BIGINT AS total FROM embeddings")
 def array_clip_pad(spark, sf):
-    ids = F.transform(F.slice("embedding", 1, 16), lambda x: (x * 100).cast("int"))
+    ids = F.transform("embedding", lambda x: (x * 100).cast("int"))
     clipped = T.clipped_ids(ids, vocabulary=16)
     return table(spark, sf, "embeddings").select("vec_id", F.aggregate(clipped, F.lit(0), lambda a, x: a + x).cast("bigint").alias("total"))
 
@@ -230,18 +232,20 @@ def lsh_greedy_dedup(spark, sf):
     return dedup.near_duplicates(_distinct(spark, sf).select("pair_id", F.col("src").alias("text")))
 
 
+Q_SPLITS = "(SELECT pair_no, kor_Hang AS text FROM nllb_train UNION ALL SELECT pair_no, kor_Hang FROM nllb_dev UNION ALL SELECT pair_no, kor_Hang FROM nllb_test)"
+
+
 @query(
-    f"""WITH s AS (SELECT pair_id, list_distinct({q_words(q_norm('src'))}) AS w FROM {DISTINCT} WHERE src IS NOT NULL),
-    c AS (SELECT min(pair_id) AS id, any_value(w) AS w FROM s WHERE len(w) > 0 GROUP BY array_to_string(list_sort(w), ' ')),
+    f"""WITH s AS (SELECT pair_no, list_distinct({q_words(q_norm('text'))}) AS w FROM {Q_SPLITS} WHERE text IS NOT NULL),
+    c AS (SELECT min(pair_no) AS id, any_value(w) AS w FROM s WHERE len(w) > 0 GROUP BY array_to_string(list_sort(w), ' ')),
     x AS (SELECT id, len(w) AS n, unnest(w) AS t FROM c),
-    r AS (SELECT x.*, row_number() OVER (PARTITION BY id ORDER BY f.f, x.t) AS k FROM x JOIN (SELECT t, count(*) AS f FROM x GROUP BY t) f USING (t)),
-    p AS (SELECT id, n, t FROM r WHERE k <= n - ceil(n * 0.85) + 1),
-    cand AS (SELECT DISTINCT p.id AS a, q.id AS b FROM p JOIN p q ON p.t = q.t AND p.id < q.id),
-    j AS (SELECT a, b, len(list_intersect(ca.w, cb.w)) AS i, len(ca.w) AS na, len(cb.w) AS nb FROM cand JOIN c ca ON ca.id = a JOIN c cb ON cb.id = b)
+    j AS (SELECT a.id AS a, b.id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS i FROM x a JOIN x b ON a.t = b.t AND a.id < b.id GROUP BY a.id, b.id)
     SELECT a, b, round(i / (na + nb - i)::DOUBLE, 6) AS jaccard FROM j WHERE i / (na + nb - i)::DOUBLE >= 0.85"""
 )
 def jaccard_pairs(spark, sf):
-    return dedup.jaccard_pairs(_distinct(spark, sf), text="src")[1].withColumn("jaccard", F.round("jaccard", 6))
+    """Sources of all splits with nearly the same words. The SQL counts the common words of all pairs that have any."""
+    rows = [table(spark, sf, f"nllb_{s}").select("pair_no", F.col("kor_Hang").alias("text")) for s in ("train", "dev", "test")]
+    return dedup.jaccard_pairs(rows[0].unionAll(rows[1]).unionAll(rows[2]), "pair_no")[1].withColumn("jaccard", F.round("jaccard", 6))
 
 
 # ---- similarity
@@ -401,28 +405,102 @@ def token_totals(spark, sf):
     return stats.token_totals(rows, "ids", "run_id").select("run_id", F.col("padded").cast("bigint"), F.col("tokens").cast("bigint"))
 
 
+@query(f"SELECT run_id, list_sum(list_transform(w, lambda x: length(x)))::BIGINT AS letters, len(w)::BIGINT AS tokens FROM (SELECT run_id, {q_words('r')}[1:8] AS w FROM (SELECT run_id, coalesce(s.reference, '') AS r FROM (SELECT run_id, unnest(samples) AS s FROM eval_results)))")
+def truncated_tokens(spark, sf):
+    """What is left of each reference when its words are cut to the model's length, eight here."""
+    rows = review.samples(table(spark, sf, "eval_results"), "run_id").select("run_id", T.truncated(T.words(F.coalesce("reference", F.lit(""))), 8).alias("w"))
+    return rows.select("run_id", F.when(F.size("w") > 0, F.aggregate("w", F.lit(0), lambda a, x: a + F.length(x))).cast("bigint").alias("letters"), F.size("w").cast("bigint").alias("tokens"))
+
+
+@query("SELECT run_id, sample_no, s.source AS source, s.reference AS reference, s.prediction AS prediction FROM (SELECT run_id, (generate_subscripts(samples, 1) - 1)::BIGINT AS sample_no, unnest(samples) AS s FROM eval_results) WHERE sample_no < 3")
+def first_samples(spark, sf):
+    """The first three samples of each run."""
+    return review.samples(table(spark, sf, "eval_results"), "run_id", first=3)
+
+
+# ---- written and read again
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder for what a query writes, in the one all executors share."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT src, tgt, count(*) AS n FROM {PAIRS} GROUP BY src, tgt")
+def jsonl_round_trip(spark, sf):
+    """Pairs written as lines of JSON, read again by key; a null text is a key that is missing."""
+    path = _folder(spark, "lines")
+    jsonl.write_lines(_pairs(spark, sf).select(jsonl.as_line(F.col("src"), F.col("tgt")).alias("raw")), path)
+    return jsonl.pairs(jsonl.read_lines(spark, path)).groupBy("src", "tgt").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT src, tgt, count(*) AS n FROM {PAIRS} WHERE src IS NOT NULL AND tgt IS NOT NULL GROUP BY src, tgt")
+def strict_scan(spark, sf):
+    """Whole pairs written as lines, read again by a scan that fails on a malformed line."""
+    path = _folder(spark, "strict")
+    whole = _pairs(spark, sf).where("src is not null and tgt is not null")
+    jsonl.write_lines(whole.select(jsonl.as_line(F.col("src"), F.col("tgt")).alias("raw")), path)
+    return jsonl.read_strict(spark, path).select(F.col("translation.kor_Hang").alias("src"), F.col("translation.vie_Latn").alias("tgt")).groupBy("src", "tgt").agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH r AS (SELECT line_id, line, row_number() OVER (ORDER BY md5('42:' || line_id), line_id) AS k, count(*) OVER () AS n FROM raw_lines WHERE line IS NOT NULL AND NOT regexp_matches(line, '[\r\n]') AND trim(line) <> ''),
+    s AS (SELECT line, CASE WHEN k <= trunc(0.95 * n) THEN 'train' WHEN k <= trunc(0.95 * n) + trunc(0.025 * n) THEN 'dev' ELSE 'test' END AS split FROM r)
+    SELECT split, line AS raw, count(*) AS n FROM s GROUP BY split, line"""
+)
+def split_sink(spark, sf):
+    """Lines of each split as its folder holds them."""
+    path = _folder(spark, "splits")
+    lines = table(spark, sf, "raw_lines").where(F.col("line").isNotNull() & ~F.col("line").rlike("[\\r\\n]") & (F.trim("line") != ""))
+    jsonl.write_splits(sampling.split(lines.select("line_id", F.col("line").alias("raw")), "line_id"), path)
+    return spark.read.text(path).select("split", F.col("value").alias("raw")).groupBy("split", "raw").agg(F.count("*").alias("n"))
+
+
+@query("SELECT model, test_file, test_size, metrics.bleu.score AS bleu, metrics.chrf AS chrf, metrics.ter AS ter, metrics.comet AS comet, len(samples)::BIGINT AS samples, count(*) AS n FROM eval_results GROUP BY ALL")
+def result_json_read(spark, sf):
+    """Results written as a JSON document a file, read again; missing metrics are null."""
+    path = _folder(spark, "results")
+    rows = table(spark, sf, "eval_results")
+    rows.repartition("run_id").withColumn("run", F.col("run_id")).write.partitionBy("run").option("maxRecordsPerFile", 1).json(path)
+    read = results.read_results(spark, path).select("model", "test_file", "test_size", F.col("metrics.bleu.score").alias("bleu"), F.col("metrics.chrf").alias("chrf"), F.col("metrics.ter").alias("ter"), F.col("metrics.comet").alias("comet"), F.when(F.col("samples").isNotNull(), F.size("samples")).cast("bigint").alias("samples"))
+    return read.groupBy(*read.columns).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT src, tgt, count(*) AS n FROM (SELECT regexp_replace(src, '^{WS}+|{WS}+$', '', 'g') AS src, regexp_replace(tgt, '^{WS}+|{WS}+$', '', 'g') AS tgt FROM (SELECT coalesce(src, '') AS src, coalesce(tgt, '') AS tgt FROM {PAIRS}) WHERE NOT regexp_matches(src || tgt, '[\r\n]')) GROUP BY src, tgt")
+def parallel_zip(spark, sf):
+    """Texts written line by line to two files of the same order, put together again."""
+    path = _folder(spark, "parallel")
+    rows = cut(_pairs(spark, sf).select(F.coalesce("src", F.lit("")).alias("src"), F.coalesce("tgt", F.lit("")).alias("tgt")).where(~F.concat("src", "tgt").rlike("[\\r\\n]")))
+    for name in ("src", "tgt"):  # the same partitions in the same order, so line i of both is row i
+        rows.select(name).write.text(f"{path}/{name}")
+    return jsonl.read_parallel(spark, f"{path}/src", f"{path}/tgt").groupBy("src", "tgt").agg(F.count("*").alias("n"))
+
+
 # ---- analysis of samples
 
 Q_SAMPLES = "(SELECT run_id, (generate_subscripts(samples, 1) - 1)::BIGINT AS sample_no, unnest(samples) AS s FROM eval_results)"
 
 
 def _issue(name: str, condition: str) -> str:
-    return f"SELECT run_id, sample_no, '{name}' AS issue FROM r WHERE {condition}"
+    return f"SELECT run_id, sample_no, field, '{name}' AS issue FROM r WHERE {condition}"
 
 
-Q_ISSUES = f"WITH r AS (SELECT run_id, sample_no, coalesce(s.reference, '') AS r FROM {Q_SAMPLES}) " + " UNION ALL ".join(
+Q_ISSUES = f"WITH r AS (SELECT run_id, sample_no, 'reference' AS field, coalesce(s.reference, '') AS r FROM {Q_SAMPLES} UNION ALL SELECT run_id, sample_no, 'prediction', coalesce(s.prediction, '') FROM {Q_SAMPLES}) " + " UNION ALL ".join(
     [_issue("too_short", f"len({q_words('r')}) < 3"), _issue("mixed_language", "regexp_matches(r, '[ᄁ-ᇾ]')"), _issue("potentially_literal", f"({' + '.join(f'contains(lower(r), {m!r})::INT' for m in T.LITERAL_MARKERS)}) >= 3")]
 )
 
 
 @query(Q_ISSUES)
 def reference_issues(spark, sf):
-    return review.reference_issues(review.samples(table(spark, sf, "eval_results"), "run_id"), "run_id")
+    """Issues of the references, and of the predictions by the same rules, since references here have few."""
+    rows = review.samples(table(spark, sf, "eval_results"), "run_id")
+    both = rows.withColumn("f", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in ("reference", "prediction")])))
+    return review.reference_issues(both.select("run_id", "sample_no", "f.field", F.col("f.text").alias("reference")), "run_id", "field")
 
 
-@query(f"SELECT issue, count(*) AS n FROM ({Q_ISSUES}) GROUP BY issue")
+@query(f"SELECT field, issue, count(*) AS n FROM ({Q_ISSUES}) GROUP BY field, issue")
 def reference_issue_counts(spark, sf):
-    return reference_issues(spark, sf).groupBy("issue").agg(F.count("*").alias("n"))
+    return reference_issues(spark, sf).groupBy("field", "issue").agg(F.count("*").alias("n"))
 
 
 @query()
@@ -441,7 +519,25 @@ def recommendations(spark, sf):
     return review.recommendations(similarity_bands(spark, sf), table(spark, sf, "eval_results"))
 
 
-@query()
+def q_escaped(t: str) -> str:
+    out = f"coalesce({t}, '')"
+    for x, y in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        out = f"replace({out}, '{x}', '{y}')"
+    return out
+
+
+def _card_sql() -> str:
+    numbers = {t: f"regexp_extract_all({t}, '{chr(92)}p{{Nd}}+')" for t in ("src", "tgt")}
+    words = {t: f"len({q_words(t)})" for t in ("src", "tgt")}
+    # a null text makes the numbers, and so the card, what the engine's null rules make them
+    listed = f"CASE WHEN len({numbers['src']}) + len({numbers['tgt']}) > 0 THEN ' · numbers ' || array_to_string({numbers['src']}, ' ') || ' / ' || array_to_string({numbers['tgt']}, ' ') ELSE '' END"
+    marks = " || ".join(f"""'<label><input type="radio" name="q' || pair_id || '" value="{m}"> {m}</label> '""" for m in ("good", "style", "wrong"))
+    count = lambda t: f"coalesce({words[t]}::VARCHAR, 'null')"
+    ratio = f"printf('%.2f', round(coalesce({q_ratio('src', 'tgt')}, 0), 2))"
+    return f"""SELECT pair_id, '<article><b>' || pair_id || '</b><p lang="ko">' || {q_escaped('src')} || '</p><p lang="vi">' || {q_escaped('tgt')} || '</p><small>words ' || {count('src')} || ' / ' || {count('tgt')} || ', ratio ' || {ratio} || {listed} || '</small><div>' || {marks} || '</div></article>' AS card FROM {DISTINCT}"""
+
+
+@query(_card_sql())
 def review_cards(spark, sf):
     """A review card of every pair, as HTML."""
     return html.cards(_distinct(spark, sf))

@@ -10,13 +10,20 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Input up to this size may be dealt out; what it costs is a shuffle of so many bytes at most.
+SPREAD_BYTES = 1 << 30
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only a session that names none (tests) gets a local one."""
+    """The cluster's checkpoint folder. A session on one machine that names none (tests) gets a folder of its own; on a cluster
+    one must be named, as executors share no other."""
     sc = spark.sparkContext
     now = sc.getCheckpointDir()
     if now:
         return now
     named = spark.conf.get("spark.checkpoint.dir", "")
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="pairmill-"))
     return sc.getCheckpointDir()
 
@@ -32,10 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out where a small input comes in fewer splits than there are cores, as one row group does. Column
-    pruning and filters pass through; a table with enough splits stays as it is."""
+    """Deal rows out where an input of SPREAD_BYTES at most comes in fewer splits than there are cores, as one row group does.
+    Column pruning and filters pass through; a larger table, or one with enough splits, stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < cores else df
 
 
 def ship(spark: SparkSession) -> None:

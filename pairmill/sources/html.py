@@ -26,7 +26,7 @@ def cards(pairs: DataFrame, key: str = "pair_id") -> DataFrame:
     marks = [F.concat(F.lit('<label><input type="radio" name="q'), F.col(key).cast("string"), F.lit(f'" value="{m}"> {m}</label> ')) for m in ("good", "style", "wrong")]
     card = F.concat(
         F.lit("<article><b>"), F.col(key).cast("string"), F.lit('</b><p lang="ko">'), escaped(F.col("src")), F.lit('</p><p lang="vi">'), escaped(F.col("tgt")),
-        F.lit("</p><small>words "), F.format_string("%d / %d, ratio %.2f", "src_words", "tgt_words", "ratio"), numbers, F.lit("</small><div>"), *marks, F.lit("</div></article>"),
+        F.lit("</p><small>words "), F.format_string("%d / %d, ratio %.2f", "src_words", "tgt_words", F.round("ratio", 2)), numbers, F.lit("</small><div>"), *marks, F.lit("</div></article>"),
     )
     return v.select(key, card.alias("card"))
 

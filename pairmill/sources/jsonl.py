@@ -15,6 +15,12 @@ from pairmill.plans.runtime import cut
 PAIR = "translation STRUCT<kor_Hang: STRING, vie_Latn: STRING>"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever file system the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_strict(spark: SparkSession, path: str) -> DataFrame:
     """translation of every line; fails on a malformed line. Blank lines are skipped."""
     return spark.read.schema(PAIR).option("mode", "FAILFAST").json(path)

@@ -32,13 +32,29 @@ def summary_line(*columns: str):
 
 def write_summary(rows: DataFrame, path: str, key: str | None = None, ascii_only: bool = False) -> dict | list:
     """Write a small result, a row per threshold or metric, as one JSON document: by key if one is named. Returns it."""
-    data = [json.loads(r[0]) for r in rows.select(summary_line(*rows.columns)).collect()]
+    data = as_dicts(rows)
     out = {str(d.pop(key)): d for d in data} if key else data
     Path(path).parent.mkdir(parents=True, exist_ok=True)
     Path(path).write_text(json.dumps(out, ensure_ascii=ascii_only, indent=2), encoding="utf-8")
     return out
 
 
+def as_dicts(rows: DataFrame) -> list[dict]:
+    """Rows of a small result, nulls left out."""
+    return [json.loads(r[0]) for r in rows.select(summary_line(*rows.columns)).collect()]
+
+
+def write_document(document: dict, path: str) -> None:
+    """One JSON document, text unescaped."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(document, ensure_ascii=False, indent=2), encoding="utf-8")
+
+
+def default_name(model: str) -> str:
+    """File of a model's inference result: the last part of its path."""
+    return f"inference_{model.rstrip('/').rpartition('/')[2]}.json"
+
+
 def load_config(path: str) -> dict:
     """A run's YAML configuration: nested sections of scalars."""
     try:
@@ -82,15 +98,26 @@ def _scalar(v: str):
     return v.strip("'\"")
 
 
-def run_config(threshold: float, base: str = ".", max_steps: int = 5000, model: str = "nllb-200-distilled-600M") -> dict:
+# Settings of a sweep's training runs.
+LENGTHS = {"max_length": 256, "max_source_length": 256, "max_target_length": 256}
+TRAINING = {
+    "per_device_train_batch_size": 32, "per_device_eval_batch_size": 32, "learning_rate": 5e-05, "warmup_steps": 500, "logging_steps": 100, "eval_steps": 500, "save_total_limit": 1,
+    "gradient_accumulation_steps": 1, "bf16": True, "dataloader_num_workers": 4, "remove_unused_columns": False, "load_best_model_at_end": True, "metric_for_best_model": "bleu", "greater_is_better": True,
+}
+GENERATION = {"num_beams": 5, "max_length": 256, "early_stopping": True}
+OPTIMIZATION = {"gradient_checkpointing": True, "optim": "adamw_torch_fused"}
+
+
+def run_config(threshold: float, base: str = ".", max_steps: int = 5000, model: str = "facebook/nllb-200-distilled-600M") -> dict:
     """Settings of a training run on the pairs above a threshold, as data for whatever trains."""
     label = int(threshold * 100)
     data = f"{base}/data/sweep/semantic_{label}"
     return {
         "model": {"name": model, "src_lang": "kor_Hang", "tgt_lang": "vie_Latn"},
-        "data": {**{f"{s}_file": f"{data}/nllb_{s}.jsonl" for s in ("train", "dev", "test")}, "max_length": 256},
-        "training": {"output_dir": f"{base}/outputs/sweep/semantic_{label}", "num_train_epochs": 1, "max_steps": max_steps, "learning_rate": 5e-05, "warmup_steps": 500},
-        "generation": {"num_beams": 5, "max_length": 256},
+        "data": {f"{s}_file": f"{data}/nllb_{s}.jsonl" for s in ("train", "dev", "test")} | LENGTHS,
+        "training": {"output_dir": f"{base}/outputs/sweep/semantic_{label}", "num_train_epochs": 1, "max_steps": max_steps, "save_steps": max_steps, "log_dir": f"{base}/logs/sweep"} | TRAINING,
+        "generation": GENERATION,
+        "optimization": OPTIMIZATION,
     }
 
 

@@ -79,3 +79,31 @@ def test_full_verdict(spark):
     got = {r.pair_id: (r.keep, r.reason) for r in rules.full_verdict(rows).collect()}
     assert got == {1: (True, "passed"), 2: (False, "near_duplicate"), 3: (False, "too_short")}
     assert rules.full_verdict(rows.withColumn("text", F.lit("clash")).withColumn("kept", F.lit(1))).count() == 3
+
+
+def test_hot_buckets_are_dealt_out(spark, monkeypatch):
+    rows = [(i, b, 7 if i % 3 else i * 10 + b) for i in range(90) for b in range(2)] + [(5, 1, 500), (200, 0, 500)]
+    plain = {x.id: x.kept for x in dedup.independent(spark.createDataFrame(rows, "id bigint, band int, bucket bigint")).collect()}
+    monkeypatch.setattr(dedup, "HOT_ROWS", 5)
+    monkeypatch.setattr(dedup, "HOT_BUCKETS", 100)
+    assert {x.id: x.kept for x in dedup.independent(spark.createDataFrame(rows, "id bigint, band int, bucket bigint")).collect()} == plain
+    assert sum(plain.values()) == 32
+
+
+def test_similar_sets_against_all_pairs(spark):
+    r = random.Random(4)
+    texts = []
+    for n in (1, 2, 3, 7, 12, 20, 55, 62, 70, 90):
+        for _ in range(6):
+            w = [f"w{r.randrange(3 * n)}" for _ in range(n)]
+            texts.append(w)
+            for k in range(0, max(1, n // 5)):
+                texts.append([x if r.random() > k / n else f"y{r.randrange(9)}" for x in w])
+    for threshold in (0.6, 0.8, 0.85, 1.0):
+        _, pairs = dedup.jaccard_pairs(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "pair_id bigint, text string"), threshold=threshold)
+        sets, first = [set(t) for t in texts], {}
+        for i, s in enumerate(sets):
+            first.setdefault(frozenset(s), i)
+        ids = sorted(first.values())
+        want = {(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]) - 1e-12}
+        assert {(x.a, x.b) for x in pairs.collect()} == want

@@ -72,3 +72,17 @@ def test_providers(spark):
     assert abs(sim[1] - 1) < 1e-6 and sim[2] < 0.7
     said = providers.provide(rows.select("id", F.col("src").alias("source")), "prediction string", providers.echo)
     assert {(r.id, r.prediction) for r in said.collect()} == {(1, "xin chào"), (2, "xin chào"), (3, None)}
+
+
+def test_exact_median(spark):
+    import random
+    import statistics
+
+    from pairmill.operators import semantic
+
+    r = random.Random(2)
+    for values in ([], [0.5], [1.0, 2.0], [0.25] * 9 + [0.75] * 9, [r.random() for _ in range(501)], [round(r.random(), 1) for _ in range(400)], [1e-300, 1.0, 1e300, -1e300]):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
+        want = statistics.median(values) if values else None
+        for few in (3, 50_000):
+            assert semantic.exact_median(df, "v", buckets=8, few=few) == want, (len(values), few)

@@ -130,3 +130,37 @@ def test_semantic_filter_needs_similarities(spark, tmp_path):
     assert [r.value[-5:] for r in spark.read.text(out).orderBy("value").collect()] == [" 0.9}", " 0.7}"]
     cli.main(["filter", "--input", str(lines), "--mode", "semantic", "--provider", "pairmill.operators.providers:hashed_vectors", "--threshold", "0", "--output", out])
     assert spark.read.text(out).count() == 4
+
+
+def test_check_config_and_best(spark, tmp_path, capsys):
+    good, bad = tmp_path / "good.jsonl", tmp_path / "bad.jsonl"
+    good.write_text('{"translation": {"kor_Hang": "가", "vie_Latn": "a"}}\n')
+    bad.write_text('{"translation": {"kor_Hang": "가"}}\n{broken\n{}\n')
+    cli.main(["check", "--input", str(good)])
+    with pytest.raises(SystemExit):
+        cli.main(["check", "--input", str(bad)])
+    out = capsys.readouterr().out
+    assert "every line holds a pair" in out and "malformed: 1 lines, the first is 1" in out and "no_vie_Latn: 1 lines, the first is 0" in out and "no_translation: 1" in out
+    cli.main(["config", "--output-dir", str(tmp_path / "c"), "--thresholds", "0.65", "0.8", "--max-steps", "7"])
+    c = results.load_config(str(tmp_path / "c" / "sweep_config_80.yaml"))
+    assert c["training"]["save_steps"] == c["training"]["max_steps"] == 7 and c["optimization"]["gradient_checkpointing"] is True and sum(map(len, c.values())) == 33
+    for t, bleu in ((65, 20.0), (80, 24.5)):
+        (tmp_path / f"r{t}.json").write_text(json.dumps({"model": "m", "test_file": f"data/semantic_{t}/test.jsonl", "test_size": 3, "metrics": {"bleu": {"score": bleu, "precisions": []}}}))
+    cli.main(["best", "--results", str(tmp_path / "r*.json"), "--output", str(tmp_path / "best.json")])
+    found = json.loads((tmp_path / "best.json").read_text())
+    assert found["best_threshold"] == 0.8 and found["best_bleu"] == 24.5 and set(found["results"]) == {"0.65", "0.8"}
+
+
+def test_review_of_thresholds_and_inference(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    for t, n in ((65, 6), (80, 2)):
+        (tmp_path / "f" / f"semantic_{t}.jsonl").write_text("\n".join(json.dumps({"translation": {"kor_Hang": f"가 {i}", "vie_Latn": f"câu {t} {i}"}}) for i in range(n)))
+    cli.main(["review", "--compare", "--filtered-dir", str(tmp_path / "f"), "--thresholds", "0.65", "0.7", "0.8", "--shown", "4", "--output", str(tmp_path / "t.html")])
+    page = (tmp_path / "t.html").read_text()
+    assert "Threshold 0.65 (4)" in page and "Threshold 0.80 (2)" in page and "0.70" not in page
+    with pytest.raises(SystemExit):
+        cli.main(["review", "--compare", "--filtered-dir", str(tmp_path / "none"), "--output", str(tmp_path / "t.html")])
+    cli.main(["infer", "--input", str(tmp_path / "f" / "semantic_65.jsonl"), "--provider", "pairmill.operators.providers:echo_loader", "--model", "a/b/", "--num-examples", "2", "--output", str(tmp_path / "i.json")])
+    r = results.read_results(spark, str(tmp_path / "i.json")).first()
+    assert r.model == "a/b/" and r.test_size == 6 and len(r.samples) == 2 and r.samples[0].prediction == r.samples[0].source and r.metrics.bleu.score is not None
+    assert results.default_name("a/b/") == "inference_b.json"
