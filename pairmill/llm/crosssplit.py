@@ -1,16 +1,16 @@
 """Rows of evaluation splits that recur in training, exactly or almost.
 
-Texts of which at most a sixth of the words differ share five sixths of their words, the occurrences of a repeated word
-told apart. So if the words of both are put in one order, rare ones first, the first n - ceil(5 n / 6) + k of each hold
-k words in common: texts meet by the pairs of these words (k = 2), long ones by single words (k = 1), and none is
-missed whatever the order. Pairs whose lengths or parity bitmaps tell that too many words differ go, the others, and
-pairs of equal folded streams, are verified on their words. Equal texts of a split go through all this once, as a
-class, and are expanded at the end.
+A text's fingerprint is a long bit code in which each word, with the number of its occurrence, sets one bit. The bits are
+permuted so that those of rare words come first; the blocks by which codes of two splits are joined are the pairs of the
+first set bits (beyond 120 words, single bits). Texts of which at most a sixth of the words differ share five sixths of
+their bits, so of the first n - ceil(5 n / 6) + k set bits of each they have k in common, and none is missed whatever the
+permutation. The codes folded to BITS bits, where words cancel out, differ in as many bits at most as the words do: pairs
+beyond this Hamming radius go. The others, and pairs of equal folded streams, are verified on their words. Equal texts of
+a split go through all this once, as a class, and are expanded at the end.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections import Counter
 
 import numpy as np
@@ -22,49 +22,14 @@ from pairmill.plans.runtime import cut
 
 from .streams import mix, text_hashes, words
 
-BITS, BLOCK_BITS, BLOCKS, WEAK = 256, 16, 16, 4
-#: Words up to which texts meet by pairs of words; buckets of the counts that put words in order; part of training counted.
-PAIRED, BUCKETS, COUNTED = 120, 1 << 16, 8
-#: Parts into which the rows of one text are dealt.
-PARTS = 16
+BITS = 256
+#: Words up to which texts meet by pairs of words; buckets of the counts that put words in order.
+PAIRED, BUCKETS = 120, 1 << 16
+#: Rows of one text that a task takes at least, and texts of more rows at most, which are broadcast.
+HOT_ROWS, HOT_TEXTS = 100_000, 10_000
 #: Most of a text's words that may be changed, dropped, added or moved.
 CHANGED = 1 / 6
 HASHED = "split string, pair_no bigint, source string, h1 bigint, h2 bigint, c0 bigint, c1 bigint, c2 bigint, c3 bigint, n bigint, keys array<bigint>, text string"
-_FLIPS = np.array([sum(1 << k for k in c) for n in range(WEAK + 1) for c in itertools.combinations(range(WEAK), n)])
-
-
-# The similarity hash (margins, blocks_of) can miss pairs; `overlaps` doesn't use it.
-
-
-def margins(texts: list[str]) -> np.ndarray:
-    """Sum over the words of each text of the signs of the words' BITS hash bits; its sign is the code, its size the certainty."""
-    h, starts, _, _ = words(texts)
-    out = np.zeros((len(texts), BITS), np.int32)
-    some = np.flatnonzero(np.diff(starts))
-    for at in range(0, len(some), 2000):
-        rows = some[at : at + 2000]
-        lo, hi = starts[rows[0]], starts[rows[-1] + 1]
-        part = h[lo:hi]
-        bits = np.concatenate([np.unpackbits(mix(part + np.uint64(0x1234567 * (k + 1))).view(np.uint8).reshape(-1, 8), axis=1) for k in range(BITS // 64)], 1).astype(np.int8)
-        out[rows] = np.add.reduceat(2 * bits - 1, starts[rows] - lo, axis=0, dtype=np.int32)
-    return out
-
-
-def blocks_of(margin: np.ndarray, probe: bool) -> np.ndarray:
-    """Block keys of each text, the block's number in the high bits; with probe, also those with any of the WEAK least certain bits flipped."""
-    value = (margin > 0).astype(np.int64)
-    weight = 1 << np.arange(BLOCK_BITS, dtype=np.int64)
-    out = []
-    for k in range(BLOCKS):
-        part = slice(k * BLOCK_BITS, (k + 1) * BLOCK_BITS)
-        key = value[:, part] @ weight
-        keys = key[:, None]
-        if probe:
-            weak = np.argsort(np.abs(margin[:, part]), axis=1, kind="stable")[:, :WEAK]
-            chosen = (_FLIPS[:, None] >> np.arange(WEAK)) & 1
-            keys = key[:, None] ^ ((1 << weak.astype(np.int64)) @ chosen.T)
-        out.append(keys + (k << 32))
-    return np.concatenate(out, 1)
 
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -153,13 +118,20 @@ def hash_batches(counts: np.ndarray):
 def changes(a: list, b: list) -> int:
     """Words changed, dropped, added or moved between two word lists."""
     common = sum((Counter(a) & Counter(b)).values())
-    row = [0] * (len(b) + 1)
-    for x in a:
-        new = [0]
-        for j, y in enumerate(b):
-            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
-        row = new
-    return max(len(a), len(b)) - common + (common - row[-1])
+    return max(len(a), len(b)) - common + (common - in_order(a, b))
+
+
+def in_order(a: list, b: list) -> int:
+    """Length of the longest common subsequence, a bit for each word of a."""
+    at: dict = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    v = full
+    for y in b:
+        u = v & at.get(y, 0)
+        v = (v + u | v - u) & full
+    return len(a) - v.bit_count()
 
 
 def verify_batches(batches):
@@ -193,38 +165,53 @@ def overlaps(train: DataFrame, evals: dict[str, DataFrame]) -> DataFrame:
     rows = None
     for name, df in evals.items():
         rows = _texts(df, name) if rows is None else rows.unionAll(_texts(df, name))
-    some = _texts(train, "train").where(F.pmod(F.xxhash64("pair_no"), F.lit(COUNTED)) == 0)
     counts = np.zeros(BUCKETS, np.int64)
-    for r in some.select("text").mapInArrow(count_batches, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_batches():  # BUCKETS rows at most
+    for r in _texts(train, "train").select("text").mapInArrow(count_batches, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_batches():  # BUCKETS rows at most
         counts[r.column(0).to_numpy()] = r.column(1).to_numpy()
     t = cut(_texts(train, "train").mapInArrow(hash_batches(counts), HASHED))
     e = cut(rows.mapInArrow(hash_batches(counts), HASHED))
 
     def classes(df: DataFrame, p: str) -> DataFrame:
-        one = df.groupBy("h1", "h2").agg(F.min_by(F.struct("c0", "c1", "c2", "c3", "n", "keys", "text"), "pair_no").alias("r"))
-        return one.select(F.col("h1").alias(f"{p}h1"), F.col("h2").alias(f"{p}h2"), *[F.col(f"r.c{k}").alias(f"{p}{k}") for k in range(4)], F.col("r.n").alias(f"{p}n"), F.col("r.keys").alias(f"{p}keys"), F.col("r.text").alias(f"{p}text"))
+        one = df.groupBy("h1", "h2").agg(F.min_by(F.struct("c0", "c1", "c2", "c3", "n", "keys", "text"), "pair_no").alias("r"), F.count("*").alias("rows"))
+        folded = F.col("r.c0").bitwiseXOR(F.col("r.c1")).bitwiseXOR(F.col("r.c2")).bitwiseXOR(F.col("r.c3"))
+        return one.select(
+            F.col("h1").alias(f"{p}h1"), F.col("h2").alias(f"{p}h2"), *[F.col(f"r.c{k}").alias(f"{p}{k}") for k in range(4)], folded.alias(f"{p}c"),
+            F.col("r.n").alias(f"{p}n"), F.col("r.keys").alias(f"{p}keys"), F.col("r.text").alias(f"{p}text"), F.col("rows").alias(f"{p}rows"),
+        )
 
     ec, tc = cut(classes(e, "e")), cut(classes(t, "t"))
-    left = ec.select("eh1", "eh2", "e0", "e1", "e2", "e3", "en", F.explode("ekeys").alias("key"))
-    right = tc.select("th1", "th2", "t0", "t1", "t2", "t3", "tn", F.explode("tkeys").alias("key"))
-    apart = sum((F.bit_count(F.col(f"e{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(4)), F.lit(0))
+    # a quarter of the code, folded once more, goes through the join, the whole code comes with the text
+    left = ec.select("eh1", "eh2", "ec", "en", F.explode("ekeys").alias("key"))
+    right = tc.select("th1", "th2", "tc", "tn", F.explode("tkeys").alias("key"))
     # of the features of both, five sixths of the longer text's are shared at least
-    most = F.col("en") + F.col("tn") - 2 * F.ceil(5 * F.greatest("en", "tn") / 6)
+    radius = F.col("en") + F.col("tn") - 2 * F.ceil(5 * F.greatest("en", "tn") / 6)
     # explode makes either side larger than Spark estimates, so it must not pick a broadcast
-    near = left.hint("merge").join(right, "key").where(apart <= most).select("eh1", "eh2", "th1", "th2")
+    near = left.hint("merge").join(right, "key").where(F.bit_count(F.col("ec").bitwiseXOR(F.col("tc"))) <= radius).select("eh1", "eh2", "th1", "th2")
     equal = ec.join(tc, (F.col("eh1") == F.col("th1")) & (F.col("eh2") == F.col("th2"))).select("eh1", "eh2", "th1", "th2")
     candidates = near.unionAll(equal).distinct()
-    texts = candidates.join(ec.select("eh1", "eh2", "etext"), ["eh1", "eh2"]).join(tc.select("th1", "th2", "ttext"), ["th1", "th2"])
-    pairs = texts.select("eh1", "eh2", "th1", "th2", "etext", "ttext").mapInArrow(verify_batches, "eh1 bigint, eh2 bigint, th1 bigint, th2 bigint")
-    # a text may stand in a third of a split's rows: its members are dealt out, and each pair of classes meets every part
-    part = lambda key: F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
-    em = e.select(F.col("h1").alias("eh1"), F.col("h2").alias("eh2"), part("pair_no").alias("ep"), "split", F.col("pair_no").alias("eval_id"), F.col("source").alias("eval_source"))
-    tm = t.select(F.col("h1").alias("th1"), F.col("h2").alias("th2"), part("pair_no").alias("tp"), F.col("pair_no").alias("train_id"), F.col("source").alias("train_source"))
-    both = pairs.withColumn("ep", every).join(em, ["eh1", "eh2", "ep"]).withColumn("tp", every).join(tm, ["th1", "th2", "tp"])
+    apart = sum((F.bit_count(F.col(f"e{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(4)), F.lit(0))
+    same = (F.col("eh1") == F.col("th1")) & (F.col("eh2") == F.col("th2"))
+    texts = candidates.join(ec.drop("ekeys", "ec"), ["eh1", "eh2"]).join(tc.drop("tkeys", "tc"), ["th1", "th2"]).where(same | (apart <= radius))
+    pairs = cut(texts.select("eh1", "eh2", "th1", "th2", "etext", "ttext").mapInArrow(verify_batches, "eh1 bigint, eh2 bigint, th1 bigint, th2 bigint"))
+    both = _members(_members(pairs, ec, e, "e", "eval"), tc, t, "t", "train")
     return both.select("split", "eval_id", "eval_source", "train_id", "train_source").dropDuplicates(["split", "eval_id", "train_id"])
 
 
+def _members(pairs: DataFrame, classes: DataFrame, rows: DataFrame, p: str, name: str) -> DataFrame:
+    """Pairs of classes with each row of the class `p`. A text may stand in a third of a split's rows: the rows of such a
+    class are dealt out, and its pairs meet every part."""
+    key = [f"{p}h1", f"{p}h2"]
+    limit = max(HOT_ROWS, (classes.agg(F.sum(f"{p}rows")).first()[0] or 0) // HOT_TEXTS)
+    hot = classes.where(F.col(f"{p}rows") > limit).select(*key, F.ceil(F.col(f"{p}rows") / limit).cast("int").alias("parts"))
+    members = rows.select(F.col("h1").alias(key[0]), F.col("h2").alias(key[1]), *["split"] * (p == "e"), F.col("pair_no").alias(f"{name}_id"), F.col("source").alias(f"{name}_source"))
+    if hot.isEmpty():
+        return pairs.join(members, key)
+    parts = F.coalesce("parts", F.lit(1))
+    members = members.join(F.broadcast(hot), key, "left").withColumn("part", F.pmod(F.xxhash64(f"{name}_id"), parts).cast("int")).drop("parts")
+    pairs = pairs.join(F.broadcast(hot), key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return pairs.join(members, [*key, "part"]).drop("part")
+
+
 def counts(found: DataFrame) -> DataFrame:
     """Overlaps by split and the two sources: pairs of rows, evaluation rows and training rows among them."""
     return found.groupBy("split", "eval_source", "train_source").agg(F.count("*").alias("pairs"), F.countDistinct("eval_id").alias("eval_rows"), F.countDistinct("train_id").alias("train_rows"))
