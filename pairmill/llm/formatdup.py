@@ -19,15 +19,19 @@ from pairmill.plans.runtime import cut
 
 from .streams import mix, same_streams, tables, text_hashes
 
-#: A group with more than this part of all rows is hot; so there are at most HOT_PARTS hot groups to broadcast.
-HOT_PARTS = 256
+#: Rows of a group that a task takes at least, and larger groups at most, which are broadcast.
+HOT_ROWS, HOT_GROUPS = 100_000, 10_000
 HASHED = "line_id bigint, h1 bigint, h2 bigint, kor_Hang string, vie_Latn string"
 
 
+def _no_json(name: str):
+    raise ValueError(f"{name} is no JSON")
+
+
 def parse(line: str | None) -> tuple[str, str] | None:
     """The two texts of a line; None for a line that is no JSON object or lacks one of them."""
     try:
-        pair = json.loads(line)["translation"]
+        pair = json.loads(line, parse_constant=_no_json)["translation"]
         ko, vi = pair["kor_Hang"], pair["vie_Latn"]
     except (ValueError, KeyError, TypeError, RecursionError):
         return None
@@ -82,7 +86,7 @@ def hashed_lines(lines: DataFrame, bits: int = 64) -> DataFrame:
 def copies(rows: DataFrame) -> DataFrame:
     """(first_line_id, line_id) of every line of a group but its first, from HASHED rows."""
     groups = cut(rows.groupBy("h1", "h2").agg(F.min("line_id").alias("first"), F.count("*").alias("n")).where("n > 1"))
-    limit = max(rows.count() // HOT_PARTS, 1000)
+    limit = max(HOT_ROWS, rows.count() // HOT_GROUPS)
     hot = groups.where(F.col("n") > limit).select("h1", "h2", F.ceil(F.col("n") / limit).cast("int").alias("parts"))
     parted = groups.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     firsts = rows.select("line_id", F.col("kor_Hang").alias("ko1"), F.col("vie_Latn").alias("vi1")).join(parted.select(F.col("first").alias("line_id"), "h1", "h2", "parts"), "line_id")

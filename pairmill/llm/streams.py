@@ -27,6 +27,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def folded(c: str) -> str:
+    """A character without regard to case: what its case folding is, or, where that is several characters, its capital's small
+    form, so that each character stays one (a sharp s is its own capital's, not two letters)."""
+    for low in (c.casefold(), c.lower()):
+        if len(low) == 1:
+            return low
+    return c
+
+
 @lru_cache(1)
 def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each code point: its folded form (0: skipped), whether it is white space, a random value of its folded form."""
@@ -38,8 +47,8 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             space[cp], fold[cp] = True, 0
         elif (kind := unicodedata.category(c))[0] == "P":
             fold[cp] = 0
-        elif kind in ("Lu", "Lt", "Ll", "Nl", "So") and len(low := c.lower()) == 1:
-            fold[cp] = ord(low)
+        elif kind in ("Lu", "Lt", "Ll", "Nl", "So", "Mn"):
+            fold[cp] = ord(folded(c))
     value = mix(fold.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D))
     return fold, space, value
 

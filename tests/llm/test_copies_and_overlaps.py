@@ -71,7 +71,17 @@ def test_copies(spark, bits):
     assert records == {min(g): len(g) for g in groups.values()}
 
 
+def test_folding_and_strict_lines():
+    same = [("Σίσυφος", "ΣΊΣΥΦΟΣ"), ("straße", "STRAẞE"), ("ǅ", "ǆ"), ("ſo", "SO")]
+    for a, b in same:
+        assert streams.same_streams([a], [b])[0] and [x[0] for x in streams.text_hashes([a])] == [x[0] for x in streams.text_hashes([b])]
+    for word in ("NaN", "Infinity", "-Infinity"):
+        assert formatdup.parse('{"translation": {"kor_Hang": "가", "vie_Latn": "a"}, "x": %s}' % word) is None
+    assert formatdup.parse('{"translation": {"kor_Hang": "가", "vie_Latn": "a"}, "x": null}') == ("가", "a")
+
+
 def test_hot_group_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(formatdup, "HOT_ROWS", 500)
     rows = [(i, line("같은 글", "cùng một câu" + "!" * (i % 3))) for i in range(4000)] + [(5000 + i, line(f"글 {i}", f"câu {i}")) for i in range(50)]
     hashed = formatdup.hashed_lines(spark.createDataFrame(rows, "line_id bigint, line string"))
     got = formatdup.copies(hashed)
@@ -161,11 +171,27 @@ def test_overlaps_with_a_repeated_word_changed(spark):
     assert {(x.eval_id, x.train_id) for x in found.collect()} == {(i, 1000 + i) for i in range(len(pairs))}
 
 
-def test_blocks_of_equal_texts_meet():
-    m = crosssplit.margins(["một hai ba bốn", "Một, hai ba bốn!", ""])
-    assert (m[0] == m[1]).all() and not m[2].any()
-    plain, probed = crosssplit.blocks_of(m, False), crosssplit.blocks_of(m, True)
-    assert plain.shape == (3, crosssplit.BLOCKS) and probed.shape == (3, crosssplit.BLOCKS * 2**crosssplit.WEAK) and set(plain[0]) <= set(probed[1])
+def test_in_order_against_dynamic_programming():
+    r = random.Random(1)
+    for _ in range(100):
+        a, b = ([r.randrange(6) for _ in range(r.randrange(0, 30))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        assert crosssplit.in_order(a, b) == row[-1]
+
+
+def test_hot_texts_are_dealt_out(spark, monkeypatch):
+    row = lambda i, t: (i, t, None, "s", "x", 1)
+    train = spark.createDataFrame([row(1000 + i, "cùng một câu rất dài ở đây" + "!" * (i % 3)) for i in range(60)] + [row(2000 + i, f"câu khác {i} hẳn ra đó nhé") for i in range(20)], SPLIT)
+    dev = spark.createDataFrame([row(i, "Cùng một câu rất dài ở đây.") for i in range(30)] + [row(50, "câu khác 3 hẳn ra đó nhé")], SPLIT)
+    want = {(i, 1000 + k) for i in range(30) for k in range(60)} | {(50, 2003)}
+    for limit in (100_000, 7):
+        monkeypatch.setattr(crosssplit, "HOT_ROWS", limit)
+        assert want <= {(x.eval_id, x.train_id) for x in crosssplit.overlaps(train, {"dev": dev}).collect()}
 
 
 def longest(a, b):
