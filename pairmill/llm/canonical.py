@@ -8,6 +8,7 @@ signs outside Chinese and Japanese, joiners outside emoji.
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import unicodedata
 from functools import lru_cache
@@ -15,17 +16,36 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 
-# Letters of other scripts, and of Latin, that look like the Latin or Vietnamese letter below them.
+# Letters of other scripts, and of Latin, that look like the Latin or Vietnamese letter below them: Cyrillic and
+# Greek, Armenian, Cherokee, Lisu, Latin.
 LOOKALIKES = dict(
     zip(
-        "асеорхуѕіјһԁԛԝкАВСЕНІЈКМОРЅТУХԌԚԜαοινρτυκΑΒΕΖΗΙΚΜΝΟΡΤΥΧðÐƉɖ",
-        "aceopxysijhdqwkABCEHIJKMOPSTYXGQWaoivptukABEZHIKMNOPTYXđĐĐđ",
+        "асеорхуѕіјһԁԛԝкАВСЕНІЈКМОРЅТУХԌԚԜӏӀѵѴαοινρτυκΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϹϳ" + "օհոսցյ" + "ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏂᏃᏏᏙᏚᏞᏟᏢᏦᏴ" + "ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ" + "ɑɡıðÐƉɖ",
+        "aceopxysijhdqwkABCEHIJKMOPSTYXGQWlIvVaoivptukABEZHIKMNOPTYXcCj" + "ohnugj" + "DRTiAJEWMHYGhZbVSLCPKB" + "BPDTGKJCZFMNLSRVHWXYAEIOU" + "agiđĐĐđ",
         strict=True,
     )
 )
+
+
+def _named_lookalikes() -> dict[str, str]:
+    """Small capitals, and Roman numerals of one letter, as the letters they are."""
+    out = {}
+    for cp in [*range(0x1D00, 0x1D23), *range(0x262, 0x2A0)]:
+        name = unicodedata.name(chr(cp), "")
+        if name.startswith("LATIN LETTER SMALL CAPITAL ") and len(name) == 28:
+            out[chr(cp)] = name[-1].lower()
+    for cp in range(0x2160, 0x2180):
+        if len(letter := unicodedata.normalize("NFKC", chr(cp))) == 1:
+            out[chr(cp)] = letter
+    return out
+
+
+LOOKALIKES |= _named_lookalikes()
 # Characters that cannot be seen.
 UNSEEN = "\xad͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩ㅤ﻿ﾠ︀︁︂︃︄︅︆︇︈︉︊︋︌︍︎️"
 JOINERS = "‍️︎"
+#: Letters that are written so wherever they stand for this one.
+_ETH = "ðÐƉɖ"
 LATIN_MARKS = "̛̣̀́̂̃̆̉̈̊̄̌̋̇̈̇"
 EMOJI = r"[\p{Extended_Pictographic}\p{Emoji_Modifier}\U0001F1E6-\U0001F1FF]"
 
@@ -49,6 +69,9 @@ def mapping() -> dict[str, str]:
             add(chr(cp), " ")
     for c in UNSEEN:
         add(c, "")
+    for cp in range(0x110000):  # characters that are never composed themselves
+        if not 0xD800 <= cp < 0xE000 and chr(cp) not in out and (t := unicodedata.normalize("NFC", chr(cp))) != chr(cp):
+            add(chr(cp), t)
     for cp in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
         whole = chr(cp)
         base, *marks = unicodedata.normalize("NFD", whole)
@@ -94,65 +117,65 @@ def _cls(chars) -> str:
 @lru_cache(1)
 def _patterns():
     singles = [s for s in mapping() if len(s) == 1]
-    start = regex.compile(rf"[{_cls(singles)}]|[^\p{{M}}]\p{{M}}+|\p{{M}}|[\U00001100-\U00001112\U0000AC00-\U0000D7A3][\U00001160-\U000011FF]+")
-    word = regex.compile(r"[\p{L}\p{M}\p{Cf}]+")
-    latin = regex.compile(r"[A-Za-z\U000000C0-\U000000CF\U000000D1-\U000000EF\U000000F1-\U0000024F\U00001E00-\U00001EFF\U0000FF21-\U0000FF5A]")
-    foreign = regex.compile(r"[\p{Cyrillic}\p{Greek}]")
-    return start, word, latin, foreign
+    # grapheme clusters that hold something the mapping may change
+    cluster = regex.compile(rf"(?:(?=[{_cls(singles)}\p{{M}}\U00001100-\U000011FF])|(?=[^\p{{M}}][\p{{M}}{_cls(JOINERS)}\U0000200C\U00001160-\U000011FF]))\X")
+    word = regex.compile(r"[\p{L}\p{M}\p{Cf}\p{Nl}]+")
+    alike = "".join(c for c in LOOKALIKES if c not in _ETH)
+    latin = regex.compile(rf"[\p{{Latin}}\U0000FF21-\U0000FF5A--[{_cls(alike)}{_cls(_ETH)}]]", regex.V1)
+    foreign = regex.compile(rf"[\p{{Cyrillic}}\p{{Greek}}\p{{Armenian}}\p{{Cherokee}}\p{{Lisu}}{_cls(alike)}]")
+    return cluster, word, latin, foreign
 
 
 _HAN_KANA = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\U00003001-\U00003011\U0000FF01-\U0000FF0F\U0000FF1A-\U0000FF20]")
 _EMOJI = regex.compile(EMOJI)
-_ETH = "ðÐƉɖ"
-
 #: Java pattern of texts that may have an entry; the transducer leaves every other text as it is.
-TRIGGER = r"[^ -~\n\r\tÀ-ÏÑ-ïñ-\u0188\u018A-ɏẠ-ỹ가-힣一-鿿ぁ-\u3098\u309B-ヾ、-】‐-―‘-‟…·«»°♪]"
+TRIGGER = r"[^ -~\n\r\tÀ-ÏÑ-ïñ-\u0130\u0132-\u0188\u018A-ɏẠ-ỹ가-힣一-鿿ぁ-\u3098\u309B-ヾ、-】‐-―‘-‟…·«»°♪]"
 
 
 def canonical(text: str) -> str:
-    """The usual form of a text. Idempotent; an empty text stays empty."""
-    start, word, latin, foreign = _patterns()
-    root = transducer()
+    """The usual form of a text, in one pass over its grapheme clusters. Idempotent; an empty text stays empty."""
+    pattern, word, latin, foreign = _patterns()
     out, done = [], 0
-    spans: list[tuple[int, int, bool]] | None = None
-    for m in start.finditer(text):
-        i = m.start()
-        if i < done:
+    words: _Words | None = None
+    for m in pattern.finditer(text):
+        cluster, at = m.group(), m.start()
+        if _of_emoji(cluster):
             continue
-        c = text[i]
-        target, end = None, i
-        node, j = root, i
-        while j < len(text) and (node := node.get(text[j])) is not None:
-            j += 1
-            if None in node:
-                target, end = node[None], j
-        if (c in JOINERS and _in_emoji(text, i)) or (m.end() > i + 1 and text[i + 1] in JOINERS and _in_emoji(text, i + 1)):
-            continue
-        if c in LOOKALIKES and end == i + 1 and c not in _ETH:
-            if spans is None:
-                spans = _words(text, word, latin, foreign)
-            if not any(s <= i < e and mixed for s, e, mixed in spans):
-                continue
-        if (0xFF01 <= ord(c) <= 0xFF20 or c == "　") and not c.isalnum() and _east_asian(text, i):
-            continue
-        cluster = m.group()
-        if len(cluster) > 1 and m.end() > max(end, i + 1):  # marks the tree has no entry for
-            target, end = unicodedata.normalize("NFC", cluster), m.end()
-            if any(x in root and None in root[x] and x not in LOOKALIKES for x in target):
-                target = "".join(root[x][None] if x in root and None in root[x] and x not in LOOKALIKES else x for x in target)
-        if target is None:
-            continue
-        out += [text[done:i], target]
-        done = end
-    result = "".join([*out, text[done:]])
-    return result if unicodedata.is_normalized("NFC", result) else unicodedata.normalize("NFC", result)
-
-
-def _in_emoji(text: str, i: int) -> bool:
-    k = i - 1
-    while k >= 0 and text[k] in JOINERS:
-        k -= 1
-    return k >= 0 and bool(_EMOJI.match(text[k]) or (text[i] == "️" and text[k] in "#*0123456789"))
+        parts, k = [], 0
+        while k < len(cluster):
+            target, end = _longest(cluster, k)
+            c = cluster[k]
+            if target is not None and end == k + 1 and c in LOOKALIKES and c not in _ETH:
+                words = words or _Words(text, word, latin, foreign)
+                target = target if words.stand_in(at + k, c) else c
+            elif (0xFF01 <= ord(c) <= 0xFF20 or c == "　") and not c.isalnum() and _east_asian(text, at + k):
+                target = c
+            parts.append(c if target is None else target)
+            k = max(end, k + 1)
+        new = "".join(parts)
+        if not unicodedata.is_normalized("NFC", new):  # marks that the tree has no entry for
+            new = unicodedata.normalize("NFC", new)
+        if new != cluster:
+            out += [text[done:at], new]
+            done = m.end()
+    return "".join([*out, text[done:]])
+
+
+def _longest(cluster: str, k: int) -> tuple[str | None, int]:
+    """Target and end of the longest entry that begins at k."""
+    node, target, end = transducer(), None, k
+    for j in range(k, len(cluster)):
+        if (node := node.get(cluster[j])) is None:
+            break
+        if None in node:
+            target, end = node[None], j + 1
+    return target, end
+
+
+def _of_emoji(cluster: str) -> bool:
+    """Whether the joiners of a cluster belong to an emoji or a keycap."""
+    joined = [k for k, c in enumerate(cluster) if c in JOINERS]
+    return bool(joined) and (bool(_EMOJI.search(cluster)) or (joined[0] > 0 and cluster[joined[0] - 1] in "#*0123456789" and cluster[joined[0]] == "️"))
 
 
 def _east_asian(text: str, i: int) -> bool:
@@ -160,21 +183,32 @@ def _east_asian(text: str, i: int) -> bool:
     return any(0 <= k < len(text) and _HAN_KANA.match(text[k]) and text[k] not in "！，．：；？（）－" for k in (i - 1, i + 1))
 
 
-def _words(text, word, latin, foreign) -> list[tuple[int, int, bool]]:
-    """Words with letters of other scripts, and whether their look-alikes stand in for Latin letters."""
-    own, mixed_any, other_any = [], False, False
-    for m in word.finditer(text):
-        w = m.group()
-        if not foreign.search(w):
-            continue
-        letters = foreign.findall(w)
-        mixed = bool(latin.search(w)) and any(c in LOOKALIKES for c in letters)
-        alike = all(c in LOOKALIKES for c in letters)
-        mixed_any |= mixed
-        other_any |= not alike and not mixed
-        own.append((m.start(), m.end(), mixed, alike and len(letters) > 1))
-    has_latin = bool(latin.search(text))
-    return [(s, e, mixed or (alike and has_latin and not other_any)) for s, e, mixed, alike in own]
+class _Words:
+    """Words of a text with letters of other scripts or look-alikes, and whether these stand in for Latin letters."""
+
+    def __init__(self, text, word, latin, foreign):
+        self.starts, own, other_any = [], [], False
+        for m in word.finditer(text):
+            w = m.group()
+            letters = foreign.findall(w)
+            if not letters:
+                continue
+            mixed = bool(latin.search(w)) and any(c in LOOKALIKES for c in letters)
+            alike = all(c in LOOKALIKES for c in letters)
+            other_any |= not alike and not mixed
+            self.starts.append(m.start())
+            own.append((m.end(), mixed, alike and len(letters) > 1))
+        has_latin = bool(latin.search(text))
+        self.words = [(e, mixed or (alike and has_latin and not other_any)) for e, mixed, alike in own]
+        self.turkish = bool(_TURKISH.search(text))
+
+    def stand_in(self, i: int, c: str) -> bool:
+        k = bisect.bisect_right(self.starts, i) - 1
+        return k >= 0 and i < self.words[k][0] and self.words[k][1] and not (c == "ı" and self.turkish)
+
+
+#: Letters beside which a dotless i is usual.
+_TURKISH = regex.compile("[ğşİĞŞ]")
 
 
 def changed_batches(batches):

@@ -120,3 +120,22 @@ def test_queries(spark, tmp_path):
     assert {r.canonical for r in catalog.p3_canonical(spark, sf).collect()} == {"a b", KO, "WiFi"}
     empty = write(spark, tmp_path / "e", "pair_corpus", [], schema)
     assert catalog.p5_found(spark, empty).count() == catalog.p3_found(spark, empty).count() == 0
+
+
+def test_look_alikes_of_every_script():
+    cases = {"vɑn đề": "van đề", "Hà Nộⅾ": "Hà Nộd", "Ꭺn toàn": "An toàn", "ꓐạn": "Bạn", "ϲủa": "của", "nһà ởօ": "nhà ởo", "ᴠiệc": "việc", "tıền": "tiền", "հọc": "học", "ⅼàm": "làm", "ⅰn": "in"}
+    for text, want in cases.items():
+        assert C.canonical(text) == unicodedata.normalize("NFC", want), text
+        assert C.canonical(want) == want
+    # alone as a symbol, or in a language that is written so
+    for text in ("Loại ɑ", "Chương Ⅱ", "Ⅷ", "ϲ", "ısı ve ışığın değişimi", "Привет, мир", "Հայերեն լեզու", "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ"):
+        assert C.canonical(text) == text
+
+
+def test_clusters_are_rewritten_whole():
+    for text in ("\u0958 \u2126 \u1f71", "\u1112\u1161\u11ab", "\ud558\u11ab", "a\u0323\u0302", "a\u0302\u0323", "e\u200c\u0323\u0302", "\uac00\u200d\ub098"):
+        assert C.canonical(text) == unicodedata.normalize("NFC", text.replace("\u200c", "").replace("\u200d", ""))
+    for text in ("👩‍🏫 1️⃣ ❤️", "x̲y⃗"):
+        assert C.canonical(text) == text
+    long = "Привет " * 20000 + "vаn"  # a word of look-alikes far from the start
+    assert C.canonical(long).endswith("van")
