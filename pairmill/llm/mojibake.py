@@ -3,7 +3,7 @@
 One state is clean text, one state stands for each pair of encodings (and two for characters that were
 lost, as U+FFFD or as question marks). A state emits a character given the one before it; the tables are
 counted on generated Korean, Vietnamese and other text sent forward through the same pairs, so the model
-is the same for every input and size. Viterbi runs over all texts of a batch at once.
+is the same for every input and size. Viterbi runs over whole texts, many at once.
 """
 
 from __future__ import annotations
@@ -33,26 +33,39 @@ CHAINS = {
     "cp949_as_cp1252": (("cp949", "cp1252"),),
     "cp949_as_gbk": (("cp949", "gbk"),),
     "cp949_as_cp932": (("cp949", "cp932"),),
+    "utf8_as_cp1251": (("utf-8", "cp1251"),),
+    "cp1258_as_cp1252": (("cp1258", "cp1252"),),
+    "tcvn3_as_cp1252": (("tcvn3", "cp1252"),),
+    "vni_as_cp1252": (("vni", "cp1252"),),
     "lost_replacement": (),
     "lost_question": (),
 }
 STATES = ["clean", *CHAINS]
 WIDE = ("cp949", "gbk", "cp932")
-PIECE = 1024
+#: Characters that go through Viterbi at once, about.
+CELLS = 1 << 21
 SWITCH_IN, SWITCH_OUT = np.log(1e-3), np.log(0.05)
 
+# Vietnamese letters of older encodings: in TCVN3 a byte for each, small letters and the capitals it has; in VNI
+# a vowel is followed by the byte of its marks (tone, and the vowel's own mark with it).
+_TONED = "áàảãạắằẳẵặấầẩẫậéèẻẽẹếềểễệíìỉĩịóòỏõọốồổỗộớờởỡợúùủũụứừửữựýỳỷỹỵ"
+_TCVN3 = dict(zip("ăâđêôơưĂÂÊÔƠƯĐ" + _TONED, "¨©®ª«¬\xad¡¢£¤¥¦§" + "¸µ¶·¹¾»¼½ÆÊÇÈÉËÐÌÎÏÑÕÒÓÔÖÝ×ØÜÞãßáâäèåæçéíêëìîóïñòôøõö÷ùýúûüþ", strict=True))
+_VNI_WHOLE = dict(zip("đíìỉĩịơưỵ", "ñíìæóòôöî", strict=True))
+_VNI_MARKS = {"": "ùøûõï", "\u0306": "éèúüë", "\u0302": "áàåãä"}
+_TONES = "\u0301\u0300\u0309\u0303\u0323"
+
 #: Characters no garbled span can do without another kind: a text of these alone, with no suspect pair, stays clean.
 VIETNAMESE = "".join(sorted({unicodedata.normalize("NFC", v + m + t) for v in "aeiouyAEIOUY" for m in ("", "̂", "̆", "̛") for t in ("", "̀", "́", "̃", "̉", "̣") if len(unicodedata.normalize("NFC", v + m + t)) == 1} | set("đĐ") - {" "}))
 _SAFE_CLASS = r" !-~\n\r\tđĐăĂơƠưƯẠ-ỹ" + "".join(sorted(c for c in VIETNAMESE if 0xC0 <= ord(c) < 0x180)) + r"가-힣‘’“”…–"
 #: Java and Python regular expression of texts that the model has to look at.
-SUSPECT = rf"[^{_SAFE_CLASS}]|\?[A-Za-z?À-ỹ]|[A-Za-zÀ-ỹ][가-힣]"
+SUSPECT = rf"[^{_SAFE_CLASS}]|\?[A-Za-z?À-ỹ]|[A-Za-zÀ-ỹ][가-힣]|[a-zà-ỹ][ÌÒ]|[aeioâêôãõýy]ì|[aeoâêôãõýuy]ò"
 
 
 @lru_cache(1)
 def _byte_maps() -> dict[str, list[str]]:
     """Of each single-byte encoding, the character of each byte; a byte it leaves open is read as a control character."""
     out = {}
-    for name in ("latin-1", "cp1252", "cp1258", "mac_roman", "cp437", "cp850"):
+    for name in ("latin-1", "cp1251", "cp1252", "cp1258", "mac_roman", "cp437", "cp850"):
         row = []
         for b in range(256):
             try:
@@ -63,6 +76,52 @@ def _byte_maps() -> dict[str, list[str]]:
     return out
 
 
+@lru_cache(1)
+def _letters() -> dict[str, dict[str, bytes]]:
+    """Of each encoding that spreads Vietnamese letters over bytes its own way, the bytes of each letter that isn't ASCII."""
+    out: dict[str, dict[str, bytes]] = {"tcvn3": {c: t.encode("latin-1") for c, t in _TCVN3.items()}, "vni": {c: t.encode("latin-1") for c, t in _VNI_WHOLE.items()}, "cp1258": {}}
+    for c in VIETNAMESE:
+        base, *marks = unicodedata.normalize("NFD", c)
+        tone = "".join(m for m in marks if m in _TONES)
+        shape = unicodedata.normalize("NFC", base + "".join(m for m in marks if m not in _TONES))
+        try:
+            out["cp1258"][c] = (shape + tone).encode("cp1258")
+        except UnicodeEncodeError:
+            pass
+        low = out["vni"].get(c.lower())
+        if low:
+            out["vni"].setdefault(c, low.decode("latin-1").upper().encode("latin-1"))
+            continue
+        own = next((m for m in marks if m in ("\u0306", "\u0302")), "")
+        horn = "\u031b" in marks
+        stem = out["vni"][{"o": "ơ", "u": "ư"}[base.lower()]].decode("latin-1") if horn else base.lower()
+        mark = _VNI_MARKS[own][_TONES.index(tone)] if tone else {"\u0306": "ê", "\u0302": "â"}.get(own, "")
+        if mark:
+            vni = stem + mark
+            out["vni"][c] = (vni.upper() if c != c.lower() else vni).encode("latin-1")
+    for c, b in list(out["tcvn3"].items()):  # capitals with a tone are written as small ones
+        out["tcvn3"].setdefault(c.upper(), b)
+    return out
+
+
+@lru_cache(8)
+def _readers(name: str) -> tuple[re.Pattern, dict[bytes, str]]:
+    """Pattern of the byte sequences of a letter, long ones first, and the letter of each."""
+    back: dict[bytes, str] = {}
+    for c, b in _letters()[name].items():
+        back.setdefault(b, c)
+    if name == "cp1258":  # a capital's mark is the same byte
+        back = {b: unicodedata.normalize("NFC", b.decode("cp1258")) for b in back}
+    return re.compile(b"|".join(map(re.escape, sorted(back, key=len, reverse=True)))), back
+
+
+def _encoded(text: str, right: str) -> bytes:
+    own = _letters().get(right)
+    if own is None:
+        return text.encode(right, "replace")
+    return b"".join(own[c] if c in own else c.encode("cp1252", "ignore") for c in text)
+
+
 @lru_cache(1)
 def _back_maps() -> dict[str, dict[str, int]]:
     return {name: {c: b for b, c in reversed(list(enumerate(row)))} for name, row in _byte_maps().items()}
@@ -71,7 +130,7 @@ def _back_maps() -> dict[str, dict[str, int]]:
 def misread(text: str, state: str) -> str:
     """Send text through the encodings of a state."""
     for right, wrong in CHAINS[state]:
-        raw = text.encode(right, "replace")
+        raw = _encoded(text, right)
         text = raw.decode(wrong, "replace") if wrong in WIDE else "".join(map(_byte_maps()[wrong].__getitem__, raw))
     return text
 
@@ -109,9 +168,10 @@ def _strictly(raw: bytes, right: str) -> str | None:
 def _decode(raw: bytes, right: str, span: str, at: list[int]) -> str:
     """Replace what decodes as whole sequences of the right encoding; keep every other character as it stands."""
     out, done = [], 0
-    for m in _SEQUENCE[right].finditer(raw):
+    pattern, letters = _readers(right) if right in _letters() else (_SEQUENCE[right], None)
+    for m in pattern.finditer(raw):
         try:
-            got = m.group().decode(right)
+            got = letters[m.group()] if letters else m.group().decode(right)
         except UnicodeDecodeError:
             continue
         first, last = at[m.start()], at[m.end() - 1]
@@ -234,6 +294,8 @@ def model() -> tuple[np.ndarray, np.ndarray, int]:
     for state in STATES[1:]:
         if state.startswith("cp949"):
             streams[state] = [misread(s, state) for s in ko]
+        elif CHAINS[state] and CHAINS[state][0][0] in _letters():
+            streams[state] = [misread(s.replace("?", "."), state) for s in vi]  # question marks speak for lost characters
         elif state == "lost_replacement":
             streams[state] = [_lose(s, r) for s in both]
         elif state == "lost_question":
@@ -316,32 +378,21 @@ def _classes() -> tuple[np.ndarray, int]:
     return table, nxt[0]
 
 
-def _pieces(texts: list[str]) -> tuple[list[str], np.ndarray]:
-    out, owner = [], []
-    for i, t in enumerate(texts):
-        for at in range(0, max(len(t), 1), PIECE):
-            out.append(t[at : at + PIECE])
-            owner.append(i)
-    return out, np.array(owner)
-
-
 def label(texts: list[str]) -> list[np.ndarray]:
-    """State of each character of each text (0: clean), by Viterbi. Texts beyond PIECE characters go piece by piece."""
+    """State of each character of each text (0: clean), by Viterbi over whole texts."""
     if not texts:
         return []
     classes, emit, _ = model()
-    pieces, owner = _pieces(texts)
-    lengths = np.array([len(p) for p in pieces])
+    lengths = np.array([len(t) for t in texts])
     order = np.argsort(-lengths, kind="stable")
-    labels: list[np.ndarray] = [None] * len(pieces)
-    for at in range(0, len(order), 2048):
-        rows = order[at : at + 2048]
-        for i, path in zip(rows, _viterbi([pieces[i] for i in rows], lengths[rows], classes, emit), strict=True):
+    labels: list[np.ndarray] = [None] * len(texts)
+    at = 0
+    while at < len(order):
+        rows = order[at : at + max(1, min(2048, CELLS // max(int(lengths[order[at]]), 1)))]
+        for i, path in zip(rows, _viterbi([texts[i] for i in rows], lengths[rows], classes, emit), strict=True):
             labels[i] = path
-    out, starts = [], np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    for s, e in zip(starts, np.r_[starts[1:], len(owner)], strict=True):
-        out.append(labels[s] if e == s + 1 else np.concatenate(labels[s:e]))
-    return out
+        at += len(rows)
+    return labels
 
 
 def _viterbi(texts: list[str], lengths: np.ndarray, classes: np.ndarray, emit: np.ndarray) -> list[np.ndarray]:
@@ -357,7 +408,7 @@ def _viterbi(texts: list[str], lengths: np.ndarray, classes: np.ndarray, emit: n
     v = np.full((n, k), SWITCH_IN)
     v[:, 0] = stay_out
     to_clean = np.zeros((width, n), np.uint8)
-    entered = np.zeros((width, n, k - 1), bool)
+    entered = np.zeros((width, n, (k + 6) // 8), np.uint8)  # a bit a state
     last = np.zeros((n, k))
     active = np.searchsorted(-lengths, -np.arange(1, width + 1), side="right")
     for t in range(width):
@@ -371,7 +422,7 @@ def _viterbi(texts: list[str], lengths: np.ndarray, classes: np.ndarray, emit: n
             to_clean[t, :m] = np.where(back > out, best + 1, 0)
             enter = (cur[:, 0] + SWITCH_IN)[:, None]
             stay = cur[:, 1:] + stay_in
-            entered[t, :m] = enter > stay
+            entered[t, :m] = np.packbits(enter > stay, axis=1)
             v[:m, 1:] = np.maximum(enter, stay)
             v[:m, 0] = np.maximum(out, back)
         v[:m] += e
@@ -385,8 +436,9 @@ def _viterbi(texts: list[str], lengths: np.ndarray, classes: np.ndarray, emit: n
         s = state[:m]
         path[:m, t] = s
         if t:
-            inside = s > 0
-            state[:m] = np.where(inside, np.where(entered[t, rows[:m], np.maximum(s, 1) - 1], 0, s), to_clean[t, :m])
+            k_ = np.maximum(s, 1) - 1
+            came = entered[t, rows[:m], k_ >> 3] >> (7 - (k_ & 7)) & 1
+            state[:m] = np.where(s > 0, np.where(came, 0, s), to_clean[t, :m])
     return [path[i, :m] for i, m in enumerate(lengths)]
 
 
@@ -411,6 +463,23 @@ def repair(text: str, states: np.ndarray) -> tuple[str | None, list[str]]:
     return ("".join([*out, text[done:]]) if whole else None), found
 
 
+#: What a span of these states has, beside letters that usual text may have alone (an eth for a d with stroke, a soft hyphen,
+#: a look-alike): a mark after its vowel, a sign inside a word.
+_PROOF = {
+    "cp1258_as_cp1252": re.compile("[aeioyâêôãõýAEIOYÂÊÔÃÕÝ][ÌÒÞìò]|[uU][ÌÒÞò]|[UÝ]ì"),
+    "tcvn3_as_cp1252": re.compile("[A-Za-z®§][¸µ¶·¹¨¾»¼½©ª«¬Æ]|[®¬¨©ª«][a-z]"),
+    "vni_as_cp1252": re.compile("[aeiouyôöAEIOUYÔÖ][ùøûõïêéèúüëâáàåãäÙØÛÕÏÊÉÈÚÜËÂÁÀÅÃÄ]|ñ[aeiouyôö]"),
+}
+
+
+def _proven(span: str, state: str) -> bool:
+    if state in _PROOF:
+        return bool(_PROOF[state].search(span))
+    if state == "utf8_as_cp1251":
+        return any(c in VIETNAMESE or "가" <= c <= "힣" for c in undo(span, state)[0] if c not in span)
+    return True
+
+
 def _confirmed(text: str, states: np.ndarray) -> bool:
     """Some labelled span decodes to other text, has lost characters, or question marks inside words."""
     for m in re.finditer("[^ \n]+(?: +[^ \n]+)*", text):
@@ -428,7 +497,7 @@ def _confirmed(text: str, states: np.ndarray) -> bool:
                 at = np.flatnonzero(states[m.start() : m.end()] == k) + m.start()
                 lo, hi = text.rfind(" ", 0, at[0]) + 1, text.find(" ", at[-1])
                 span = text[lo : hi if hi >= 0 else len(text)]
-                if unicodedata.normalize("NFC", span) != undo(span, STATES[k])[0]:
+                if _proven(span, STATES[k]) and unicodedata.normalize("NFC", span) != undo(span, STATES[k])[0]:
                     return True
     return False
 
