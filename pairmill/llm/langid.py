@@ -249,30 +249,40 @@ def _strip(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", text.replace("đ", "d").replace("Đ", "D")) if not unicodedata.combining(c))
 
 
+def fitting(lang: str, text: str) -> str:
+    """The segments of a labelled text whose letters don't contradict the label, a line each: labels are noisy and texts mixed."""
+    b, _ = flat(pa.array([text]))
+    if not len(b):
+        return ""
+    starts = cut(b, np.array([0, len(b)]))
+    latin, viet, l1, ko, han, kana, cyr = Detector._evidence(b, starts)
+    roman, east = latin + viet + l1, han + kana
+    fits = {
+        "ko": ko * 3 > roman, "zh": (han * 3 > roman) & (kana * 6 < han) & (ko == 0), "ja": (kana > 0) & (east * 3 > roman) & (ko == 0), "ru": (cyr * 2 > roman) & (ko == 0),
+        "vi": (viet * 12 >= roman) & (roman > 0) & (ko + east == 0) & (cyr == 0),
+    }.get(lang, (viet * 40 < roman) & (ko + east == 0) & (cyr == 0))
+    ends = np.append(starts[1:], len(b))
+    return "\n".join(b[i:e].tobytes().decode("utf-8", "replace").strip() for i, e in zip(starts[fits], ends[fits], strict=True))
+
+
 def train(labelled: list[tuple[str, str]], epochs: int = 6) -> Compiled:
-    """Fit on (language, text) rows. Segments whose script contradicts the label are no examples."""
+    """Fit on (language, text) rows."""
     r = np.random.default_rng(1)
-    scripts = {"ko": (0xEA, 0xED), "zh": (0xE4, 0xE9), "ja": (0xE3, 0xE3), "ru": (0xD0, 0xD1)}
     xs: dict[int, list[np.ndarray]] = {}
-    for lang, text in labelled:
+    for lang, whole in labelled:
+        text = fitting(lang, whole)
         # forms a text comes in, each with its chance: without accents, decomposed, in capitals
         plain = _strip(text) if lang == "vi" else text
         forms = [(text, 1.0), (plain, float(lang == "vi")), (unicodedata.normalize("NFD", text), 0.4 * (lang in ("vi", "ko"))), (text.upper(), 1.0 if lang == "vi" else 0.3), (plain.upper(), 0.3 * (lang == "vi"))]
-        variants = [t for t, chance in forms if r.random() < chance]
-        for t in variants:
+        for t in [t for t, chance in forms if r.random() < chance]:
             b, offsets = flat(pa.array([t]))
             if not len(b):
                 continue
             starts = cut(b, offsets)
             ends = np.append(starts[1:], len(b))
             keep = ends - starts >= 20
-            if not keep.any():
-                continue
-            rows, _ = windows(b, starts[keep], ends[keep])
-            letters = _kinds(rows.ravel()).reshape(rows.shape)
-            share = {k: ((letters >= lo) & (letters <= hi)).mean(1) for k, (lo, hi) in scripts.items()}
-            fits = share[lang] > 0.1 if lang in scripts else np.maximum.reduce(list(share.values())) < 0.05
-            xs.setdefault(LANGS.index(lang), []).append(rows[fits])
+            if keep.any():
+                xs.setdefault(LANGS.index(lang), []).append(windows(b, starts[keep], ends[keep])[0])
     if not xs:  # nothing to learn from: every language is as likely
         net = ByteCNN(len(LANGS))
         net.out[:] = 0

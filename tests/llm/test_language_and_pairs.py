@@ -216,3 +216,21 @@ def test_refusals_that_only_the_usual_form_shows(spark):
 def test_without_training_nothing_is_told():
     own = langid.Detector(langid.train([]))
     assert languages(own, [SENTENCES["ko"][0], SENTENCES["ru"][0], SENTENCES["vi"][0], SENTENCES["en"][0], "가나\n" * 40000]) == [set()] * 5
+
+
+def test_training_segments_fit_their_label():
+    s = SENTENCES
+    for lang in s:
+        others = " ".join(s[x][0] for x in s if x != lang and not (lang in ("en", "id", "fr") and x in ("en", "id", "fr")))
+        assert langid.fitting(lang, others + " " + " ".join(s[lang][:2])).split("\n") == [x for x in s[lang][:2]], lang
+    assert langid.fitting("vi", "") == langid.fitting("ko", "123 …") == ""
+
+
+def test_mixed_and_wrong_labels_do_no_harm():
+    """A third of the texts with an Indonesian label is Vietnamese; neither language takes the other's texts."""
+    r = np.random.default_rng(2)
+    rows = [(lang, " ".join(r.permutation(s))) for lang, s in SENTENCES.items() for _ in range(40)]
+    rows += [("id", " ".join(r.permutation(SENTENCES["vi"]))) for _ in range(20)]
+    own = langid.Detector(langid.train(rows, epochs=8))
+    for lang in ("vi", "id"):
+        assert languages(own, SENTENCES[lang]) == [{lang}] * 4
