@@ -72,53 +72,60 @@ def bands(rows: DataFrame, key: str = "pair_id", text: str = "text", permutation
     return tokens.mapInArrow(_band_batches(permutations, n_bands), f"id {dict(rows.dtypes)[key]}, band int, bucket bigint")
 
 
-def independent(buckets: DataFrame) -> DataFrame:
-    """(id, kept): the lexicographically first independent set of rows under "shares a bucket", from (id, band, bucket) rows.
+def independent(buckets: DataFrame, each: int | None = None) -> DataFrame:
+    """(id, kept): the lexicographically first independent set of rows under "shares a bucket", from (id, band, bucket) rows;
+    `each` is the number of buckets of every id where that is known and no row repeated.
 
     Each round keeps the rows that are the least open ones of all their buckets and drops the others of these buckets.
     The least open row of all is always kept, so the rounds end. A round aggregates the open rows by bucket, partly before
     the shuffle, counts the buckets each least row has to itself, and joins open rows with the buckets taken, of which those
-    of many rows are dealt out. What is settled is written as one table.
+    of many rows are dealt out.
     """
-    spark = buckets.sparkSession
-    open_ = cut(buckets.distinct())
-    bands_of = open_.groupBy("id").agg(F.count("*").alias("of"))
-    settled = cut(spark.createDataFrame([], buckets.select("id").schema).withColumn("kept", F.lit(True)))
-    # as every row of a MinHash has a bucket in each band, no row needs to be asked for its number of buckets
-    most = bands_of.agg(F.max("of")).first()[0] or 0
-    alike = bands_of.where(F.col("of") != most).isEmpty()
-    while not open_.isEmpty():
+    open_ = cut(buckets if each else buckets.distinct())
+    of = None if each else open_.groupBy("id").agg(F.count("*").alias("of"))
+    settled: list[DataFrame] = []
+    while True:
         least = cut(open_.groupBy("band", "bucket").agg(F.min("id").alias("id"), F.count("*").alias("n")))
+        size = least.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+        if not size.rows:
+            break
         first = least.groupBy("id").agg(F.count("*").alias("mine"))
-        first = first.where(F.col("mine") == most) if alike else first.join(bands_of, "id").where(F.col("mine") == F.col("of"))
-        winners = cut(first.select("id"))
+        first = first.where(F.col("mine") == each) if each else first.join(of, "id").where(F.col("mine") == F.col("of"))
+        winners = first.select("id", F.lit(True).alias("kept"))
         # buckets of winners: the winner is the least row of each
-        taken = least.join(winners, "id", "left_semi").where("n > 1")
-        losers = _members(open_, taken, least).join(winners, "id", "left_anti")
-        new = cut(winners.withColumn("kept", F.lit(True)).unionAll(losers.withColumn("kept", F.lit(False))))
-        settled = cut(settled.unionAll(new))
-        open_ = cut(open_.join(new, "id", "left_anti"))
-    return settled
-
-
-def _members(open_: DataFrame, taken: DataFrame, sized: DataFrame) -> DataFrame:
-    """id of every row of the buckets taken (band, bucket, n). Buckets of more than HOT_ROWS rows, or more than 1 / HOT_BUCKETS
-    of all rows, are dealt out over several tasks."""
-    limit = max(HOT_ROWS, (sized.agg(F.sum("n")).first()[0] or 0) // HOT_BUCKETS)
+        taken = least.where("n > 1").join(winners.select("id"), "id", "left_semi")
+        members = _members(open_, taken, max(HOT_ROWS, size.rows // HOT_BUCKETS), size.most)
+        settled.append(cut(members.withColumn("kept", F.lit(False)).unionAll(winners).groupBy("id").agg(F.max("kept").alias("kept"))))
+        if len(settled) > 8:  # a union of many parts makes a long plan
+            settled = [cut(_union(settled))]
+        open_ = cut(open_.join(settled[-1], "id", "left_anti"))
+    return _union(settled) if settled else open_.select("id").distinct().withColumn("kept", F.lit(True))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
+def _members(open_: DataFrame, taken: DataFrame, limit: int, most: int) -> DataFrame:
+    """id of the rows of the buckets taken (band, bucket, n). Buckets of more rows than the limit are dealt out over several tasks."""
+    if most <= limit:
+        return open_.join(taken.select("band", "bucket"), ["band", "bucket"], "left_semi").select("id")
     hot = taken.where(F.col("n") > limit).select("band", "bucket", F.ceil(F.col("n") / limit).cast("int").alias("parts"))
-    if hot.isEmpty():
-        return open_.join(taken.select("band", "bucket"), ["band", "bucket"], "left_semi").select("id").distinct()
     dealt = open_.join(F.broadcast(hot), ["band", "bucket"], "left").withColumn("part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
     parts = taken.select("band", "bucket", F.explode(F.sequence(F.lit(0), F.when(F.col("n") > limit, F.ceil(F.col("n") / limit) - 1).otherwise(0).cast("int"))).alias("part"))
-    return dealt.join(parts, ["band", "bucket", "part"], "left_semi").select("id").distinct()
+    return dealt.join(parts, ["band", "bucket", "part"], "left_semi").select("id")
 
 
 def near_duplicates(rows: DataFrame, key: str = "pair_id", text: str = "text") -> DataFrame:
     """(key, kept) of every text with words. Equal word sets are settled before the rounds, so a hot text takes one row of them."""
-    tokens = rows.select(F.col(key), F.xxhash64(token_hashes(F.col(text))).alias("set"), text)
-    first = cut(tokens.where(F.size(token_hashes(F.col(text))) > 0).groupBy("set").agg(F.min(key).alias(key), F.min_by(text, key).alias(text)))
-    settled = independent(bands(first, key, text)).withColumnRenamed("id", key)
-    copies = rows.where(F.size(token_hashes(F.col(text))) > 0).select(key).join(first.select(key), key, "left_anti").withColumn("kept", F.lit(False))
+    hashes = rows.select(key, token_hashes(F.col(text)).alias("t"), text).where("size(t) > 0")
+    tokens = hashes.select(key, F.xxhash64("t").alias("set"), text)
+    first = cut(tokens.groupBy("set").agg(F.min(key).alias(key), F.min_by(text, key).alias(text)))
+    settled = independent(bands(first, key, text), BANDS).withColumnRenamed("id", key)
+    copies = tokens.select(key).join(first.select(key), key, "left_anti").withColumn("kept", F.lit(False))
     return settled.unionAll(copies)
 
 
