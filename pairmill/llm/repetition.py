@@ -1,7 +1,7 @@
 """Repetition inside documents, by n-gram models with modified Kneser-Ney discounts.
 
 A language's bigrams are counted by Spark over the whole corpus and interpolated down to its words; what is frequent
-enough lies in sorted hash arrays, the rest backs off. On top of it every document is modelled as it is read: its runs of
+enough lies in sorted hash arrays, the rest is joined. On top of it every document is modelled as it is read: its runs of
 ORDER words, with discounts of the language. A run seen before makes its last word cheaper, by so many bits; what a
 repeated run saves at least and at most in a document, over all documents of a language, gives the language's two bands of
 perplexity. At or below the lower band a document repeats enough, above the upper band it doesn't; in between its repeated
@@ -12,6 +12,7 @@ among all others, with a band on both sides.
 from __future__ import annotations
 
 import hashlib
+import re
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -28,10 +29,13 @@ from .streams import codes, mix, ngrams, words
 ORDER = 5
 #: Share of repeated words of a case.
 REPEATED = 0.4
+#: Letters that make a run in a script written without spaces, where words can't be told.
+LETTERS = 2 * ORDER
 #: N-grams with more than this part of all occurrences are looked up in every task, so there are at most HOT of an order.
 HOT = 50_000
 
 _UNSPACED = ((0x3040, 0x3100), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x20000, 0x30000))
+_LETTER = re.compile("[" + "".join(f"{chr(lo)}-{chr(hi - 1)}" for lo, hi in _UNSPACED) + "]")
 
 
 def unspaced(texts: list[str]) -> np.ndarray:
@@ -64,6 +68,23 @@ def _earlier(keys: np.ndarray, amount: np.ndarray | None = None) -> np.ndarray:
     return out
 
 
+def _covered(starts: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Share of each text's words that lie in one of the runs of n words that begin at `at`."""
+    edge = np.zeros(int(starts[-1]) + n + 1, np.int64)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + n, -1)
+    total = np.r_[0, np.cumsum(np.cumsum(edge)[: int(starts[-1])] > 0)]
+    return (total[starts[1:]] - total[starts[:-1]]) / np.maximum(np.diff(starts), 1)
+
+
+def letter_share(texts: list[str]) -> np.ndarray:
+    """Share of each text in runs of LETTERS that occurred earlier in it; what isn't of an unspaced script counts by words."""
+    h, starts, _, _ = words([_LETTER.sub(r" \g<0> ", x) for x in texts])
+    grams, at = ngrams(h, starts, LETTERS)
+    text = np.searchsorted(starts, at, side="right") - 1
+    return _covered(starts, at[_earlier(grams ^ mix(text.astype(np.uint64))) > 0], LETTERS)
+
+
 def own_runs(texts: list[str]):
     """(words of all texts, where each text's begin, text of each run, its first word, key of the run and of its context in its text)."""
     h, starts, _, _ = words(texts)
@@ -105,27 +126,21 @@ def own_discounts(d: tuple[float, float, float]) -> tuple[float, float, float]:
 
 @dataclass
 class Corpus:
-    """Interpolated bigrams of all languages: sorted keys of words, contexts and bigrams with their probability, what a
-    context leaves to the words alone, and the probability of each other word of a language."""
-
-    words: tuple[np.ndarray, np.ndarray]
-    contexts: tuple[np.ndarray, np.ndarray]
-    bigrams: tuple[np.ndarray, np.ndarray]
-    other: dict[str, float]
-
-    @staticmethod
-    def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, default) -> np.ndarray:
-        known, values = table
-        if not len(known):
-            return np.broadcast_to(default, keys.shape)
-        place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        return np.where(known[place] == keys, values[place], default)
+    """Interpolated probability of the frequent bigrams of all languages, by sorted keys."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+    def find(self, pair: np.ndarray) -> np.ndarray:
+        """Probability of the last word of each pair, NaN where the pair isn't held."""
+        if not len(self.keys):
+            return np.full(len(pair), np.nan)
+        place = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[place] == pair, self.values[place], np.nan)
 
     def probability(self, before: np.ndarray, word: np.ndarray, lang: np.ndarray, langs: list[str]) -> np.ndarray:
         """Of each word after the one before it; `lang` numbers the languages of `langs`."""
-        salt = _salts(langs)[lang]
-        one = self._find(self.words, mix(word ^ salt), np.array([self.other.get(x, 1e-9) for x in langs])[lang])
-        return self._find(self.contexts, mix(before ^ salt), 1.0) * one + self._find(self.bigrams, _pair(before, word, salt), 0.0)
+        return self.find(_pair(before, word, _salts(langs)[lang]))
 
 
 def _pair(before: np.ndarray, word: np.ndarray, salt: np.ndarray) -> np.ndarray:
@@ -149,46 +164,59 @@ def bigram_batches(batches):
         )
 
 
-def _sorted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and values of at most HOT rows."""
-    got = rows.toPandas()
-    keys = got["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], got["p"].to_numpy(float)[order]
-
-
-def corpus_model(docs: DataFrame) -> Corpus:
-    """Modified Kneser-Ney bigrams of each language of (doc_id, lang, text), counted over all of it. A bigram, context or
-    word with no more than 1 / HOT of all occurrences is not held: its mass goes down to the words, and to all other words alike."""
+def bigram_model(docs: DataFrame) -> DataFrame:
+    """(pair, hot, p) of every bigram of (doc_id, lang, text): modified Kneser-Ney of each language, counted over all of it and
+    interpolated to the words; hot are those with more than 1 / HOT of all occurrences."""
     two = cut(docs.mapInArrow(bigram_batches, "lang string, pair bigint, before bigint, word bigint, n bigint").groupBy("lang", "pair").agg(F.first("before").alias("before"), F.first("word").alias("word"), F.sum("n").alias("n")))
     one = cut(two.groupBy("lang", "word").agg(F.count("*").alias("n")))
-    spark = docs.sparkSession
 
     def sums(df: DataFrame) -> dict:
         return {r.lang: r for r in df.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("v"), *[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)]).collect()}  # a row per language
 
     of_two, of_one = sums(two), sums(one)
-    rows = [(x, *discounts(t.n1, t.n2, t.n3, t.n4), *discounts(o.n1, o.n2, o.n3, o.n4), o.total, o.v) for x, t in of_two.items() for o in (of_one[x],)]
-    d = F.broadcast(spark.createDataFrame(rows, "lang string, a1 double, a2 double, a3 double, b1 double, b2 double, b3 double, total bigint, v bigint"))
+    rows = []
+    for x, t in of_two.items():
+        o = of_one[x]
+        b = discounts(o.n1, o.n2, o.n3, o.n4)
+        left = b[0] * o.n1 + b[1] * o.n2 + b[2] * (o.v - o.n1 - o.n2)
+        rows.append((x, *discounts(t.n1, t.n2, t.n3, t.n4), *b, float(o.total), left / o.total / o.v))
+    d = F.broadcast(docs.sparkSession.createDataFrame(rows, "lang string, a1 double, a2 double, a3 double, b1 double, b2 double, b3 double, total double, least double"))
     cost = lambda p: F.when(F.col("n") == 1, F.col(f"{p}1")).when(F.col("n") == 2, F.col(f"{p}2")).otherwise(F.col(f"{p}3"))
-    all_two, all_one = sum(r.total for r in of_two.values()), sum(r.total for r in of_one.values())
-    hot_two, hot_one = F.col("n") * HOT > all_two, F.col("n") * HOT > all_one
-    scored = one.join(d, "lang")
-    left = {r.lang: r.left for r in scored.groupBy("lang").agg((F.sum(cost("b")) / F.first("total")).alias("left")).collect()}
-    lefts = F.broadcast(spark.createDataFrame(list(left.items()), "lang string, left double"))
-    held = scored.where(hot_one).join(lefts, "lang").select("lang", F.col("word").alias("key"), ((F.col("n") - cost("b")) / F.col("total") + F.col("left") / F.col("v")).alias("p"))
-    mass = {r.lang: (r.p, r.k) for r in held.groupBy("lang").agg(F.sum("p").alias("p"), F.count("*").alias("k")).collect()}
-    other = {x: max(1 - mass.get(x, (0.0, 0))[0], 1e-9) / max(of_one[x].v - mass.get(x, (0.0, 0))[1], 1) for x in of_one}
-    after = two.join(d, "lang").groupBy("before").agg(F.sum("n").alias("t"), F.sum(F.when(hot_two, F.col("n") - cost("a")).otherwise(0.0)).alias("kept")).where(F.col("kept") > 0)
-    contexts = cut(after)  # a context of a held bigram, so at most HOT
-    bigrams = two.where(hot_two).join(d, "lang").join(F.broadcast(contexts.select("before", "t")), "before").select(F.col("pair").alias("key"), ((F.col("n") - cost("a")) / F.col("t")).alias("p"))
-    return Corpus(_sorted(held), _sorted(contexts.select(F.col("before").alias("key"), (1 - F.try_divide("kept", "t")).alias("p"))), _sorted(bigrams), other)
-
-
-def score_batches(d_of: dict[str, tuple[float, float, float]], corpus: Corpus):
-    """Arrow batches (doc_id, lang, text) -> (doc_id, lang, words, runs, again, bits, saved, repeated_share): bits of the words that
-    end a run, and the bits they would cost more had no run been seen before; the share is null for unspaced scripts only, 0 for
-    a text of fewer words than a run has."""
+    hot = F.col("n") * HOT > sum(r.total for r in of_two.values())
+    p1 = one.join(d, "lang").select("word", ((F.col("n") - cost("b")) / F.col("total") + F.col("least")).alias("p1"))
+    mine = two.join(d, "lang").select("pair", "before", "word", "n", cost("a").alias("cost"))
+    after = mine.groupBy("before").agg(F.sum("n").alias("t"), F.sum("cost").alias("left"))
+    return cut(mine.join(p1, "word").join(after, "before").select("pair", hot.alias("hot"), ((F.col("n") - F.col("cost") + F.col("left") * F.col("p1")) / F.col("t")).alias("p")))
+
+
+def held(model: DataFrame) -> Corpus:
+    """The hot bigrams of a model, at most HOT."""
+    got = model.where("hot").select("pair", "p").toPandas()
+    keys = got["pair"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return Corpus(keys[order], got["p"].to_numpy(float)[order])
+
+
+def corpus_model(docs: DataFrame) -> Corpus:
+    """Modified Kneser-Ney bigrams of each language of (doc_id, lang, text) that are hot."""
+    return held(bigram_model(docs))
+
+
+SCORES = (
+    "doc_id bigint, lang string, words bigint, runs bigint, again bigint, bits double, saved double, repeated_share double, repeated_content double, "
+    "rare array<bigint>, rare_again array<bigint>, part array<double>, extra array<double>"
+)
+
+
+def score_batches(d_of: dict[str, tuple[float, float, float]], corpus: Corpus, whole: bool = True):
+    """Arrow batches (doc_id, lang, text) -> SCORES: bits of the words that end a run, and the bits they would cost more had no run
+    been seen before; the share of repeated words is null for unspaced scripts only, 0 for a text of fewer words than a run has,
+    that of repeated content is null for none.
+
+    Bigrams that the corpus doesn't hold are handed on: `rare` of runs not seen before, whose bits lack log2 of the bigram's
+    probability p, `rare_again` of the others, whose probability is part * p + extra and which count nowhere yet. Without
+    `whole` bits are null and `rare` is empty, as it saves nothing.
+    """
 
     def run(batches):
         for b in batches:
@@ -196,31 +224,56 @@ def score_batches(d_of: dict[str, tuple[float, float, float]], corpus: Corpus):
             langs = sorted(set(names))
             lang = np.searchsorted(np.array(langs), np.array(names)) if names else np.zeros(0, np.int64)
             h, starts, text, at, keys, context = own_runs(texts)
-            size = np.diff(starts)
             seen, before = _earlier(keys), _earlier(context)
             d = np.array([(0.0, *d_of[x]) for x in langs]).reshape(-1, 4)[lang[text]] if len(at) else np.zeros((0, 4))
             row = np.arange(len(at))
             mine, after = d[row, np.minimum(seen, 3)], d[row, np.minimum(seen + 1, 3)]
             left = _earlier(context, after - mine)  # discounts of all runs seen with this context
-            base = corpus.probability(h[at + ORDER - 2] if len(at) else h[:0], h[at + ORDER - 1] if len(at) else h[:0], lang[text], langs)
-            low = np.where(before > 0, left / np.maximum(before, 1), 1.0) * base
-            p = low + np.where(seen > 0, (seen - mine) / np.maximum(before, 1), 0.0)
-            per = lambda x: np.bincount(text, x, minlength=len(texts))
+            pair = _pair(h[at + ORDER - 2], h[at + ORDER - 1], _salts(langs)[lang[text]]) if len(at) else h[:0]
+            base = corpus.find(pair)
+            part = np.where(before > 0, left / np.maximum(before, 1), 1.0)
             again = seen > 0
-            edge = np.zeros(int(starts[-1]) + ORDER + 1, np.int64)
-            np.add.at(edge, at[again], 1)
-            np.add.at(edge, at[again] + ORDER, -1)
-            covered = np.r_[0, np.cumsum(np.cumsum(edge)[: int(starts[-1])] > 0)]
-            share = (covered[starts[1:]] - covered[starts[:-1]]) / np.maximum(size, 1)
+            extra = np.where(again, (seen - mine) / np.maximum(before, 1), 0.0)
+            rare = np.isnan(base)
+            low = part * np.where(rare, 1.0, base)
+            late = rare & again
+            per = lambda x: np.bincount(text, x, minlength=len(texts)).astype(float)  # noqa: E731; whole numbers where no text has a run
+
+            def lists(of, *values, text=text, size=len(texts)):
+                ends = pa.array(np.r_[0, np.cumsum(np.bincount(text[of], minlength=size))].astype(np.int32))
+                return [pa.ListArray.from_arrays(ends, pa.array(x[of])) for x in values]
+
+            share, loose = _covered(starts, at[again], ORDER), unspaced(texts)
+            content = share.copy()
+            if loose.any():
+                content[loose] = letter_share([x for x, y in zip(texts, loose, strict=True) if y])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(size.astype(np.int64)), pa.array(np.bincount(text, minlength=len(texts)).astype(np.int64)), pa.array(per(again.astype(float)).astype(np.int64)),
-                 pa.array(per(-np.log2(p))), pa.array(per(np.log2(p / low))), pa.array(share, mask=unspaced(texts))],
-                ["doc_id", "lang", "words", "runs", "again", "bits", "saved", "repeated_share"],
+                [b.column(0), b.column(1), *[pa.array(x.astype(np.int64)) for x in (np.diff(starts), np.bincount(text, minlength=len(texts)), per(again.astype(float)))],
+                 pa.array(per(np.where(late, 0.0, -np.log2(low + extra))), mask=np.full(len(texts), not whole)), pa.array(per(np.where(late, 0.0, np.log2((low + extra) / low)))),
+                 pa.array(share, mask=loose), pa.array(content), *lists(rare & ~again & whole, pair.view(np.int64)), *lists(late, pair.view(np.int64), part, extra)],
+                ["doc_id", "lang", "words", "runs", "again", "bits", "saved", "repeated_share", "repeated_content", "rare", "rare_again", "part", "extra"],
             )
 
     return run
 
 
+def scores(docs: DataFrame, whole: bool = True) -> DataFrame:
+    """(doc_id, lang, words, runs, again, bits, saved, repeated_share, repeated_content) of each row of (doc_id, lang, text), see
+    `score_batches`, over all bigrams of the corpus: hot ones are looked up, the others joined, none of which is in more than
+    1 / HOT of the rows. Without `whole` bits are null."""
+    sums = docs.mapInArrow(counts_batches, "lang string, n1 bigint, n2 bigint, n3 bigint, n4 bigint").groupBy("lang").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(1, 5)])
+    d_of = {r.lang: own_discounts(discounts(r.n1, r.n2, r.n3, r.n4)) for r in sums.collect()}  # a row per language name known, and 'und'
+    model = bigram_model(docs)
+    first = cut(docs.mapInArrow(score_batches(d_of, held(model), whole), SCORES).withColumn("row", F.monotonically_increasing_id()))
+    rare = first.select("row", F.inline(F.arrays_zip(F.col("rare_again").alias("pair"), "part", "extra")))
+    if whole:
+        rare = rare.unionAll(first.select("row", F.explode("rare").alias("pair"), F.lit(1.0).alias("part"), F.lit(0.0).alias("extra")))
+    low = F.col("part") * F.col("p")
+    late = rare.join(model.where("not hot").select("pair", "p"), "pair").groupBy("row").agg(F.sum(-F.log2(low + F.col("extra"))).alias("late_bits"), F.sum(F.log2(1 + F.try_divide("extra", low))).alias("late_saved"))
+    both = lambda x: (F.col(x) + F.coalesce(f"late_{x}", F.lit(0.0))).alias(x)
+    return cut(first.join(late, "row", "left").select("doc_id", "lang", "words", "runs", "again", both("bits"), both("saved"), "repeated_share", "repeated_content"))
+
+
 def bands(scored: DataFrame) -> DataFrame:
     """(lang, least, most): bits a repeated run saves at least and at most, in the mean of a document, over all documents.
 
@@ -236,33 +289,35 @@ def _texts(documents: DataFrame) -> DataFrame:
     return documents.where("text is not null").select("doc_id", F.coalesce(label_language(F.col("lang")), F.lit("und")).alias("lang"), "text")
 
 
+def _judged(scored: DataFrame) -> DataFrame:
+    """Scores with their language's `least` and `most` and the verdict of the bands."""
+    placed = scored.join(F.broadcast(bands(scored)), "lang", "left")  # a row per language name known, and 'und'
+    word = F.col("saved") / F.greatest("words", F.lit(1))
+    live = (F.col("runs") > 0) & F.col("repeated_share").isNotNull() & F.col("least").isNotNull()
+    return placed.withColumn("verdict", F.when(~live | (word < F.col("least") * (REPEATED / ORDER)), "above").when(word >= F.col("most") * REPEATED, "below").otherwise("counted"))
+
+
 def repetition(documents: DataFrame) -> DataFrame:
-    """(doc_id, lang, words, self_perplexity, lower_band, upper_band, below_band, verdict, repeated_share) of every document.
+    """(doc_id, lang, words, self_perplexity, lower_band, upper_band, below_band, verdict, repeated_share, repeated_content) of
+    every document.
 
     The bands are of perplexity, for the document's language and words. verdict: 'below' the lower band or at it, 'above' the
     upper band, else 'counted'; below_band tells that it isn't above. Null texts are left out; a text of fewer than ORDER words
     has no perplexity, is 'above' and repeats nothing; one in an unspaced script has no words to tell apart, is 'above' and has a
-    null share. Columns beside doc_id, lang and text are ignored.
+    null share of repeated words. repeated_content is that share, and in an unspaced script the share in repeated runs of LETTERS.
+    Columns beside doc_id, lang and text are ignored.
     """
-    docs = _texts(documents)
-    sums = docs.mapInArrow(counts_batches, "lang string, n1 bigint, n2 bigint, n3 bigint, n4 bigint").groupBy("lang").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(1, 5)])
-    d_of = {r.lang: own_discounts(discounts(r.n1, r.n2, r.n3, r.n4)) for r in sums.collect()}  # a row per language name known, and 'und'
-    scored = cut(docs.mapInArrow(score_batches(d_of, corpus_model(docs)), "doc_id bigint, lang string, words bigint, runs bigint, again bigint, bits double, saved double, repeated_share double"))
-    placed = scored.join(F.broadcast(bands(scored)), "lang", "left")  # a row per language name known, and 'und'
-    word = F.col("saved") / F.greatest("words", F.lit(1))
-    live = (F.col("runs") > 0) & F.col("repeated_share").isNotNull() & F.col("least").isNotNull()
-    verdict = F.when(~live | (word < F.col("least") * (REPEATED / ORDER)), "above").when(word >= F.col("most") * REPEATED, "below").otherwise("counted")
     perplexity = lambda bits: F.when(F.col("runs") > 0, F.round(F.pow(F.lit(2.0), F.try_divide(bits, F.col("runs"))), 6))
     upto = F.col("bits") + F.col("saved")
-    return placed.select(
+    return _judged(scores(_texts(documents))).select(
         "doc_id", "lang", "words", perplexity(F.col("bits")).alias("self_perplexity"), perplexity(upto - F.col("words") * F.col("most") * REPEATED).alias("lower_band"),
-        perplexity(upto - F.col("words") * F.col("least") * (REPEATED / ORDER)).alias("upper_band"), verdict.alias("verdict"), "repeated_share",
+        perplexity(upto - F.col("words") * F.col("least") * (REPEATED / ORDER)).alias("upper_band"), "verdict", "repeated_share", "repeated_content",
     ).withColumn("below_band", F.col("verdict") != "above")
 
 
 def repeating(documents: DataFrame) -> DataFrame:
     """doc_id of every document that repeats enough: below the lower band, or between the bands and REPEATED of its words counted."""
-    return repetition(documents).where((F.col("verdict") == "below") | ((F.col("verdict") == "counted") & (F.col("repeated_share") >= REPEATED))).select("doc_id").distinct()
+    return _judged(scores(_texts(documents), whole=False)).where((F.col("verdict") == "below") | ((F.col("verdict") == "counted") & (F.col("repeated_share") >= REPEATED))).select("doc_id").distinct()
 
 
 # ---- the corpus model

@@ -198,6 +198,43 @@ def test_bands_decide_without_counting(spark):
     assert {x.doc_id for x in repetition.repeating(df).collect()} == {d for d, w in docs.items() if share_of(w) >= 0.4}
 
 
+def test_rare_bigrams_are_joined(spark, monkeypatch):
+    """Perplexity and bands are the same whether a bigram is held in every task or joined."""
+    r = random.Random(21)
+    rows = []
+    for d in range(60):
+        words = r.choices("abcdefghijklmnop", range(16, 0, -1), k=r.randrange(0, 60))
+        rows.append((d // 2, " ".join(words + words[: d % 5 * 6]), ("vi", "ko", None)[d % 3]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    key = lambda x: (x.doc_id, x.lang, x.words, x.self_perplexity or 0)
+    want, found = sorted(repetition.repetition(docs).collect(), key=key), sorted(x.doc_id for x in repetition.repeating(docs).collect())
+    assert len(want) == 60 and found and sum(x.self_perplexity is not None for x in want) > 40
+    for hot in (0, 250):
+        monkeypatch.setattr(repetition, "HOT", hot)
+        got = sorted(repetition.repetition(docs).collect(), key=key)
+        for a, b in zip(got, want, strict=True):
+            assert (a.doc_id, a.lang, a.words, a.verdict, a.repeated_share) == (b.doc_id, b.lang, b.words, b.verdict, b.repeated_share)
+            assert all((getattr(a, x) or 0) == pytest.approx(getattr(b, x) or 0, rel=1e-6) for x in ("self_perplexity", "lower_band", "upper_band"))
+        assert sorted(x.doc_id for x in repetition.repeating(docs).collect()) == found
+
+
+def test_unspaced_documents_have_a_share_of_repeated_content(spark):
+    r = random.Random(22)
+    plain = "".join(chr(0x4E00 + i) for i in r.sample(range(5000), 80))
+    rows = [(1, plain, "zh"), (2, plain + "。" + plain[:40] + "！", "zh"), (3, "东西南北中。" * 20, "zh"), (4, plain[:9] * 2, "zh"), (5, plain + " a b c d e f g h i j " + "A, b c d e f g h i j.", "zh"), (6, "a b c d e " * 2, "vi"), (7, "", "zh"), (8, "สวัสดีครับทุกคน " * 4, "th")]
+    got = {x.doc_id: x for x in repetition.repetition(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    want = {1: 0, 2: 40 / 120, 3: 95 / 100, 4: 0, 5: 10 / 100, 6: 0.5, 7: 0, 8: 0.75}
+    assert all(abs(got[d].repeated_content - x) < 1e-12 for d, x in want.items()) and set(got) == set(want)
+    assert all(got[d].repeated_share is None and got[d].verdict == "above" for d in (1, 2, 3, 4, 5, 8)) and got[6].repeated_share == 0.5
+
+
+def test_batches_without_a_run(spark):
+    docs = spark.createDataFrame([(1, "a b c d", "vi"), (2, "", "ko"), (3, "x", None)], "doc_id bigint, text string, lang string").coalesce(1)
+    got = {x.doc_id: x for x in repetition.repetition(docs).collect()}
+    assert {d: (x.words, x.verdict, x.repeated_share, x.repeated_content, x.self_perplexity) for d, x in got.items()} == {d: (n, "above", 0, 0, None) for d, n in ((1, 4), (2, 0), (3, 1))}
+    assert not repetition.repeating(docs).collect()
+
+
 def test_discounts():
     assert repetition.discounts(0, 0, 0, 0) == (0.9, 1.3, 1.6)
     d = repetition.discounts(1000, 100, 40, 20)
